@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if its optimizer estimate is at most this many bytes.
-BROADCAST_LIMIT = 8 << 20
+BROADCAST_LIMIT = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
