@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import domains, mapping
+from . import domains, mapping, survivors
 
 
 def _mapped_fields(spark: SparkSession, d: str) -> dict:
@@ -21,5 +21,25 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return mapping.map_columns(table(spark, d, "results_v2"), "result_id", _mapped_fields(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
+_APPARATUS = ("vt", "ub", "bb", "fx", "aa")
+GOLD_FIELDS = ["athlete_name", "comp_year", "meet_date", "meet_name", "level", "age", "club", *[f"{p}_{x}" for p in _APPARATUS for x in ("score", "d", "rank")]]
+_APPEARANCE = survivors.Appearance(
+    "gold_id", "athlete_name", "meet_name", "meet_date", tuple(f"{p}_score" for p in _APPARATUS), tuple(f"{p}_{x}" for p in _APPARATUS for x in ("d", "rank"))
+)
+
+
+def _survivors(spark: SparkSession, d: str) -> DataFrame:
+    gold = table(spark, d, "gold_results_wag")
+    return survivors.survivors(gold, survivors.duplicate_groups(gold, _APPEARANCE), "gold_id", "updated_at", GOLD_FIELDS, "vt_score")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _survivors(spark, d).select("group_id", "best_id", F.col("vt_score_id").alias("vt_id"))
+
+
+def p3_survivors(spark: SparkSession, d: str) -> DataFrame:
+    return _survivors(spark, d).drop("best_id", "vt_score_id")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_survivors, p4_found)}
 SQL: dict[str, str] = {}
