@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import domains, mapping, survivors
+from . import domains, linkage, mapping, survivors
 
 
 def _mapped_fields(spark: SparkSession, d: str) -> dict:
@@ -41,5 +41,15 @@ def p3_survivors(spark: SparkSession, d: str) -> DataFrame:
     return _survivors(spark, d).drop("best_id", "vt_score_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_survivors, p4_found)}
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    people = linkage.person_records(table(spark, d, "persons"), "person_id", "full_name", "dob", "gender")
+    clubs = linkage.club_records(table(spark, d, "clubs"), "club_id", "name", tuple(sorted(domains.PROVINCE_NAMES)))
+    out = []
+    for entity, records, extra in (("person", people, True), ("club", clubs, False)):
+        links = linkage.name_links(records, domains.NICKNAMES if extra else {}, extra)
+        out.append(linkage.same_entities(records, links).select(F.lit(entity).alias("entity"), "id_a", "id_b"))
+    return out[0].unionByName(out[1])
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_survivors, p4_found)}
 SQL: dict[str, str] = {}
