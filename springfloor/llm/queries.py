@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import domains, linkage, mapping, survivors
+from . import domains, linkage, mapping, mixing, packing, splitting, survivors, tokens
 
 
 def _mapped_fields(spark: SparkSession, d: str) -> dict:
@@ -51,5 +51,44 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_survivors, p4_found)}
+def _budgets(spark: SparkSession, d: str, job: str) -> list[tuple[int, int]]:
+    """A fixed, short table of parameters."""
+    rows = table(spark, d, "token_budgets").filter(F.col("job") == job).select("capacity_tokens", "overlap_tokens").distinct().collect()
+    return sorted((r.capacity_tokens, r.overlap_tokens) for r in rows)
+
+
+def _packed(spark: SparkSession, d: str) -> DataFrame:
+    items = packing.token_items(table(spark, d, "documents"), "doc_id", "text", [c for c, _ in _budgets(spark, d, "pack")])
+    return packing.pack(items, "doc_id")
+
+
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d)
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(_packed(spark, d))
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, d, "mix_targets")
+    docs = table(spark, d, "documents").join(F.broadcast(targets.select("source")), "source", "left_semi")  # a row per target
+    sized = mixing.sized_once(tokens.with_sizes(docs, "doc_id", "text", ("source",)))
+    rated = mixing.sized_once(mixing.rates(sized, "source", targets))
+    return mixing.mix(sized, "doc_id", "source", rated), rated
+
+
+def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.share_report(*_mixed(spark, d))
+
+
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split(table(spark, d, "documents"), "doc_id", "text", _budgets(spark, d, "split"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_survivors, p4_found, p7_packed, p7_fill, p8_mixed, p8_shares, p9_pieces)}
 SQL: dict[str, str] = {}
