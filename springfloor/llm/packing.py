@@ -75,13 +75,14 @@ def token_items(docs: DataFrame, key: str, text: str, capacities: list[int], voc
             for i, s in zip(batch["id"], batch["text"]):
                 if s is None:
                     continue
-                n = t.count(s)
-                x = Text(s, t) if n > least else None
+                ends = t.ends(s)
+                n = len(ends)
+                x = Text(s, t, ends) if n > least else None
                 for c in capacities:
                     if n <= c:
                         rows.append((i, c, 0, 0, len(s), n))
                     else:
-                        for k, (a, b, m) in enumerate(cut(x, c, 0, max(1, c - 3))):
+                        for k, (a, b, m) in enumerate(cut(x, c, 0, 1, natural=False)):
                             rows.append((i, c, k, int(x.chars[x.at[a]]), int(x.chars[x.at[b]]), m))
             yield pd.DataFrame(rows, columns=names)
 
@@ -93,8 +94,8 @@ def token_items(docs: DataFrame, key: str, text: str, capacities: list[int], voc
 def pack(items: DataFrame, key: str) -> DataFrame:
     """``items`` (capacity_tokens, key, piece_no, n_tokens, ...) with a bin_id, unique per capacity.
 
-    No bin holds more than its capacity. Items in a shard come in the order of a hash
-    of their key, so the result depends on the items only. Empty items go to the
+    No bin holds more than its capacity. Items in a shard come in falling size, of
+    equals in the order of a hash of their key, so the result depends on the items only. Empty items go to the
     first bin of their shard; repeated items are packed each.
     """
     items = materialize(items)
@@ -105,7 +106,7 @@ def pack(items: DataFrame, key: str) -> DataFrame:
     dealt = dealt.withColumn("__order", order).withColumn("__shard", F.pmod(F.xxhash64(F.lit(7), F.col(key), "piece_no"), F.col("shards")).cast("int")).drop("shards")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["__order", key, "piece_no", "n_tokens"], kind="stable")
+        group = group.sort_values(["n_tokens", "__order", key, "piece_no"], ascending=[False, True, True, True], kind="stable")
         where, _ = sum_of_squares(group["n_tokens"].tolist(), int(group["capacity_tokens"].iat[0]))
         return group.assign(bin_id=(group["__shard"].to_numpy().astype(np.int64) << 32) + where).drop(columns=["__order", "__shard"])
 

@@ -34,10 +34,10 @@ def _is(a: np.ndarray, chars: bytes) -> np.ndarray:
 class Text:
     """A text with its tokens, characters and boundary strengths."""
 
-    def __init__(self, text: str, t: tokens.Tokenizer):
+    def __init__(self, text: str, t: tokens.Tokenizer, ends: np.ndarray | None = None):
         self.t = t
         self.bytes = text.encode("utf-8")
-        self.at = np.concatenate([[0], t.ends(text)])
+        self.at = np.concatenate([[0], t.ends(text) if ends is None else ends])
         self.n = len(self.at) - 1
         b = np.frombuffer(self.bytes, dtype=np.uint8)
         #: characters before each byte
@@ -109,10 +109,10 @@ class Text:
         return head + last - first + self.t.short(self.text(last, b))
 
 
-def cut(x: Text, capacity: int, overlap: int, least: int) -> list[tuple[int, int, int]]:
+def cut(x: Text, capacity: int, overlap: int, least: int, natural: bool = True) -> list[tuple[int, int, int]]:
     """(first token, end token, size) of the pieces of a text, each of a size up to
     ``capacity``, and all but the last of at least ``least`` tokens where a character
-    boundary allows."""
+    boundary allows. Unless ``natural``, pieces are as long as they can be."""
     if not 0 <= overlap < least <= capacity:
         raise ValueError("it must hold that 0 <= overlap < least <= capacity")
     if x.n <= capacity:
@@ -127,7 +127,7 @@ def cut(x: Text, capacity: int, overlap: int, least: int) -> list[tuple[int, int
                 b = x.n
             else:
                 lo = min(a + least, hi)
-                b = x.strongest(lo, hi, table, width)
+                b = x.strongest(lo, hi, table, width) if natural else hi
                 while x.strength[b] == WITHIN and b > a + overlap + 1:
                     b -= 1
                 while x.strength[b] == WITHIN:
