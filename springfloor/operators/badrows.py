@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import broadcast_if_small, col
@@ -33,34 +33,30 @@ class Layout:
 RESULT_LINES = Layout(("MeetID", "Athlete", "Club", "Level", "Apparatus", "D", "Score", "Rank", "Session"), {"D": "decimal_or_empty", "Score": "score", "Rank": "rank"})
 
 
-def csv_cells(line: Column) -> tuple[Column, Column]:
-    """(quotes are well-formed, cells) of one line under RFC 4180, as JVM expressions.
+def with_cells(df: DataFrame, line: str) -> DataFrame:
+    """``df`` with columns quoted_well (quotes are well-formed) and cells of each line
+    under RFC 4180, as JVM expressions.
 
     Splitting at quotes leaves text outside quotes at even places, inside at odd
-    ones. It is well-formed if the parts are odd in number and each outer part is
-    empty between two inner ones (a doubled quote) or borders them by commas. Linear
-    in the length of the line, without backtracking. Blanks around a quoted cell
-    make it malformed, a quote inside a bare cell too. Cells are as written.
+    ones. With a comma added at both ends, it is well-formed if the parts are odd in
+    number and each outer part is empty (a doubled quote) or has a comma at both ends.
+    Linear in the length of the line, without backtracking: nothing in a lambda
+    refers to the line as a whole, which would be evaluated anew for each part.
+    Blanks around a quoted cell make it malformed, a quote inside a bare cell too.
+    Cells are as written.
     """
-    parts = F.split(line, '"', -1)
-    n = F.size(parts)
+    parts = F.split(F.concat(F.lit(","), col(line), F.lit(",")), '"', -1)
+    fine = F.transform(parts, lambda p, i: (i % 2 == 1) | (p == "") | p.startswith(",") & p.endswith(","))
     # with all quotes gone, a quote can introduce codes: "| is a separator, "_ a quote
-    coded = F.transform(
-        parts,
-        lambda p, i: F.when(i % 2 == 1, p).when((p == "") & (i > 0) & (i < n - 1), '"_').otherwise(F.replace(p, F.lit(","), F.lit('"|'))),
-    )
-    fine = F.transform(
-        parts,
-        lambda p, i: (i % 2 == 1) | (p == "") | ((i == 0) | p.startswith(",")) & ((i == n - 1) | p.endswith(",")),
-    )
-    cells = F.transform(F.split(F.array_join(coded, ""), r'"\|', -1), lambda c: F.replace(c, F.lit('"_'), F.lit('"')))
-    return (n % 2 == 1) & F.forall(fine, lambda x: x), cells
+    coded = F.transform(parts, lambda p, i: F.when(i % 2 == 1, p).when(p == "", '"_').otherwise(F.replace(p, F.lit(","), F.lit('"|'))))
+    cells = F.split(F.array_join(coded, ""), r'"\|', -1)
+    inner = F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 2, F.lit(0)))
+    return df.withColumns({"quoted_well": (F.size(parts) % 2 == 1) & F.forall(fine, lambda x: x), "cells": F.transform(inner, lambda c: F.replace(c, F.lit('"_'), F.lit('"')))})
 
 
 def parse_lines(df: DataFrame, key: str, line: str, layout: Layout = RESULT_LINES) -> DataFrame:
     """(key, quoted_well, cells, header) of each line; a null line has null cells."""
-    ok, cells = csv_cells(col(line))
-    out = df.select(col(key).alias(key), ok.alias("quoted_well"), cells.alias("cells"))
+    out = with_cells(df.select(col(key).alias(key), col(line).alias("__line")), "__line").drop("__line")
     head = F.array(*[F.lit(c) for c in layout.columns])
     return out.withColumn("header", F.coalesce(F.col("quoted_well") & (F.transform("cells", F.trim) == head), F.lit(False)))
 

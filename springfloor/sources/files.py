@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
-from ..operators.badrows import csv_cells
+from ..operators.badrows import with_cells
 
 
 def lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -30,8 +30,7 @@ def melted_csv(spark: SparkSession, path: str, glob: str | None = None, header_w
     one of the words, else the first line. Cells beyond the header and repeats of
     the header line are left out.
     """
-    ok, cells = csv_cells(F.col("line"))
-    rows = lines(spark, path, glob).select("file", "line_no", cells.alias("cells"))
+    rows = with_cells(lines(spark, path, glob), "line").select("file", "line_no", "cells")
     hit = F.exists("cells", lambda c: F.exists(F.array(*[F.lit(w) for w in header_words]), lambda w: F.lower(c).contains(w)))
     head = rows.groupBy("file").agg(F.coalesce(F.min_by("line_no", F.when(hit & (F.col("line_no") <= within), F.col("line_no"))), F.min("line_no")).alias("h"))
     body = rows.join(head, "file")
