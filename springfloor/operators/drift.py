@@ -121,8 +121,9 @@ def _alike(a: str, b: str) -> Column:
     c = lambda side, x: F.col(f"{side}_{x}")
     both, any_ = c(a, "shapes").bitwiseAND(c(b, "shapes")), c(a, "shapes").bitwiseOR(c(b, "shapes"))
     shapes = F.bit_count(both) / F.bit_count(any_)
-    span = F.greatest(c(a, "hi"), c(b, "hi")) - F.least(c(a, "lo"), c(b, "lo"))
-    common = F.least(c(a, "hi"), c(b, "hi")) - F.greatest(c(a, "lo"), c(b, "lo"))
+    unit = F.when(F.col("type") == "number", 0.0).otherwise(1.0)  # whole numbers fill a range to its end
+    span = F.greatest(c(a, "hi"), c(b, "hi")) - F.least(c(a, "lo"), c(b, "lo")) + unit
+    common = F.least(c(a, "hi"), c(b, "hi")) - F.greatest(c(a, "lo"), c(b, "lo")) + unit
     one_sided = c(a, "lo").isNull() != c(b, "lo").isNull()
     ranges = F.when(one_sided, 0.0).when(c(a, "lo").isNull(), 1.0).when(span == 0, 1.0).otherwise(F.greatest(F.lit(0.0), common / span))
     return F.least(shapes, ranges)
