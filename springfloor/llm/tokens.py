@@ -80,5 +80,5 @@ def with_sizes(docs: DataFrame, key: str, text: str, keep: tuple[str, ...] = (),
             n = pd.array([None if x is None else t.count(x) for x in b["__text"]], dtype="Int32")
             yield b.drop(columns="__text").assign(n_tokens=n)
 
-    schema = narrow.drop("__text").withColumn("n_tokens", F.lit(0)).schema
+    schema = narrow.drop("__text").withColumn("n_tokens", F.lit(None).cast("int")).schema
     return narrow.mapInPandas(sizes, schema)
