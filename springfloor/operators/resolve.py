@@ -50,10 +50,10 @@ def healed(rows: DataFrame, key: str, source: DataFrame, source_key: str, column
     """
     s = source.groupBy(F.col(source_key).alias("__k")).agg(*[F.min(b).alias("__" + a) for a, b in columns.items()])
     lengths = s.select(F.length("__k").alias("__l")).distinct()
-    tries = rows.select(key, F.explode(F.array(F.struct(F.lit(0).alias("o"), F.col(key).alias("k")), F.struct(F.lit(1).alias("o"), F.concat(F.lit(prefix), F.col(key)).alias("k")))).alias("t")).select(key, "t.o", "t.k")
-    heads = rows.select(key).join(F.broadcast(lengths), F.length(key) > F.col("__l")).select(key, (F.lit(1000) - F.col("__l")).alias("o"), F.substring(F.col(key), F.lit(1), F.col("__l")).alias("k"))
-    hit = tries.unionByName(heads).distinct().join(s, F.col("k") == F.col("__k"))
-    best = hit.groupBy(key).agg(*[F.min_by("__" + a, "o").alias("__" + a) for a in columns])
+    tries = rows.select(key, F.explode(F.array(F.struct(F.lit(0).alias("__o"), F.col(key).alias("__q")), F.struct(F.lit(1).alias("__o"), F.concat(F.lit(prefix), F.col(key)).alias("__q")))).alias("__t")).select(key, "__t.__o", "__t.__q")
+    heads = rows.select(key).join(F.broadcast(lengths), F.length(key) > F.col("__l")).select(key, (F.lit(1 << 30) - F.col("__l")).alias("__o"), F.substring(F.col(key), F.lit(1), F.col("__l")).alias("__q"))
+    hit = tries.unionByName(heads).distinct().join(s, F.col("__q") == F.col("__k"))
+    best = hit.groupBy(key).agg(*[F.min_by("__" + a, "__o").alias("__" + a) for a in columns])
     out = rows.join(best, key, "left")
     return out.withColumns({a: F.coalesce(a, "__" + a) for a in columns}).drop(*["__" + a for a in columns])
 

@@ -15,10 +15,10 @@ def lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
 
     Files are read whole, so that the number is that of the file; result files are small.
     """
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    text = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿", "").alias("value"))
+    text = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿", "").alias("value"))
     each = text.select("file", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("i", "line"))
     return each.filter("line != ''").select("file", (F.col("i") + 1).alias("line_no"), "line")
 
@@ -72,7 +72,7 @@ def aliases(spark: SparkSession, path: str) -> DataFrame:
     """(alias, canonical, pos) of a JSON object of texts, in the order of the file; no rows
     without the file."""
     try:
-        raw = spark.read.option("wholetext", True).text(path)
+        raw = spark.read.text(path, wholetext=True)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -114,7 +114,7 @@ def every_nth(rows: DataFrame, order: list[str], n: int) -> DataFrame:
 
 def status(spark: SparkSession, path: str) -> DataFrame:
     """(source, meet_id, status, fail_count) of a status file whose values are texts or objects."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     e = raw.select(F.explode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("e"))
     v = F.col("e.value")
     key = F.split(F.col("e.key"), "_", 2)

@@ -23,9 +23,8 @@ def test_similar_rows_fixture(spark):
         (1, "A", "d", "P3", "m", "9.0", "8.0", "7.0", "9.5", "8.5", "7.5", "49.5"), (2, "A", "d", "P3", "m", "9.1", "8.1", "7.1", "9.6", "8.6", "7.6", "49.503"), (3, "A", "d", "P3", "m", "9.0", "1.0", "7.0", "9.5", "8.5", "7.5", "42.5"),
         (4, "A", "d", "P3", "m", "5.0", "5.1", "5.2", "5.3", "5.4", "5.5", "31.5"), (5, "A", "d", "P3", "m", "9.0", None, None, None, None, None, None), (6, None, None, None, "m", None, None, None, None, None, None, None),
     ]
-    assert sorted(r.id for r in star.similar_rows_kept(_rows(spark, rows), "id", SCORES, "aa_score").collect()) == [1, 4, 5] or True
-    assert {1, 4, 5} <= {r.id for r in star.similar_rows_kept(_rows(spark, rows), "id", SCORES, "aa_score").collect()}
-    assert not {2, 3} & {r.id for r in star.similar_rows_kept(_rows(spark, rows), "id", SCORES, "aa_score").collect()}
+    # a row without any score repeats nothing
+    assert sorted(r.id for r in star.similar_rows_kept(_rows(spark, rows), "id", SCORES, "aa_score").collect()) == [1, 4, 5, 6]
 
 
 def brute_similar(rows):
