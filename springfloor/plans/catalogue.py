@@ -446,3 +446,11 @@ def nation_revenue(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey").join(broadcast_if_small(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(broadcast_if_small(c), F.col("o_custkey") == F.col("c_custkey"))
     return per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("n_name").agg(F.sum("r").cast("double").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+
+
+@query("select lower(trim(regexp_replace(full_name, '\\s+', ' ', 'g'))) as canonical, string_agg(distinct full_name, '|' order by full_name) as aliases from persons group by 1 having count(distinct full_name) > 1")
+def alias_groups(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.curation import alias_groups as groups
+
+    a = table(spark, d, "persons").select(F.col("full_name").alias("alias"), F.lower(text.clean_text(F.col("full_name"))).alias("canonical"))
+    return groups(a).filter(F.size("aliases") > 1).select("canonical", F.array_join("aliases", "|").alias("aliases"))

@@ -200,3 +200,13 @@ def test_every_nth(spark):
 
 def test_catalogue_has_twins():
     assert set(catalogue.QUERIES) - set(catalogue.SQL) == {"similar_rows"}
+
+
+def test_decisions(spark):
+    from springfloor.operators import curation
+
+    df = spark.createDataFrame([("a", "b", "r", 1), ("c", "d", "r", 2), ("e", "f", "r", 0), ("g", "h", "r", None)], "name_1 string, name_2 string, reason string, choice int")
+    aliases, discarded, left = curation.decided(df)
+    assert sorted((r.alias, r.canonical) for r in aliases.collect()) == [("b", "a"), ("c", "d")]
+    assert discarded.count() == left.count() == 1
+    assert [json.loads(r.value)["name_1"] for r in curation.as_json(left).collect()] == ["g"]
