@@ -133,6 +133,55 @@ def test_currency(spark):
     assert t(5) < got[102] < t(9) and got[103] is None and got[101] == t(9)
 
 
+def _learning(groups=4):
+    """Rows from which draft < live < final is learned, but never draft < final."""
+    t = lambda n: dt.datetime(2024, 1, n)
+    steps = [("draft", "live"), ("live", "final")]
+    return [(1000 + 10 * g + k, 1000 + g, v, t(k + 1)) for g in range(2 * groups) for k, v in enumerate(steps[g % 2])]
+
+
+def test_currency_of_groups_without_timestamps(spark):
+    t = lambda n: dt.datetime(2024, 1, n)
+    rows = _learning() + [(1, 1, "draft", None), (2, 1, "live", None), (3, 1, "final", None), (4, 1, "other", None), (5, 2, "final", t(9)), (6, 2, "draft", None), (7, 3, "draft", None), (8, 3, "final", None)]
+    rows += [(9, 4, "draft", t(9)), (10, 4, "live", None), (11, 4, "final", None), (12, 4, "live", None), (13, 5, "draft", None)]
+    df = spark.createDataFrame(rows, "id bigint, g bigint, v string, at timestamp_ntz")
+    got = {r.id: r.currency for r in survivors.with_currency(df, "id", "g", "at", ["v"]).collect()}
+    assert len(got) == len(rows)
+    assert got[1] is None and got[4] is None and got[2] < got[3]
+    assert t(8) < got[6] < t(9)  # draft < final only by the chain
+    assert got[7] is None and got[8] is not None
+    assert t(9) < got[10] == got[12] < got[11] < t(10)
+    assert got[13] is None
+
+
+def test_survivors_without_timestamps(spark):
+    values = ["draft", "live", "final"]
+    rows = [_gold(gold_id=i, updated_at=at, **BASE | {"level": v}) for i, g, v, at in _learning()] + [_gold(gold_id=i, **BASE | {"level": v}) for i, v in enumerate(values)]
+    df = gold_frame(spark, rows).drop("group_id")
+    groups = spark.createDataFrame([(i, g) for i, g, _, _ in _learning()] + [(i, 1) for i in range(3)], "id bigint, group_id bigint")
+    s = {r.group_id: r for r in survivors.survivors(df, groups, "gold_id", "updated_at", q.GOLD_FIELDS, "vt_score").collect()}[1]
+    assert (s.level, s.best_id, s.vt_score_id) == ("final", 2, 2)
+
+
+def test_value_order_of_contradicting_rules(spark):
+    rules = [("f", "a", "b", 9), ("f", "b", "c", 3), ("f", "c", "a", 3), ("f", "x", "y", 4), ("f", "y", "x2", 5), ("g", "p", "q", 3), ("g", "q", "p", 3)]
+    got = {(r.earlier, r.later) for r in survivors.value_order(spark.createDataFrame(rules, "field string, earlier string, later string, net bigint")).collect()}
+    assert got == {("a", "b"), ("x", "y"), ("y", "x2"), ("x", "x2")}
+
+
+def test_places_keep_every_precedence():
+    rng = random.Random(8)
+    for _ in range(300):
+        n = rng.randint(2, 9)
+        edges = [(a, b) for a, b in combinations(range(n), 2) if rng.random() < 0.3]
+        lo = {x: rng.randrange(1000, 9000, 1000) for x in range(n) if rng.random() < 0.2}
+        hi = {x: lo.get(x, 0) + rng.randrange(1000, 9000, 1000) for x in range(n) if rng.random() < 0.2}
+        at = {x: survivors.OLDEST if t is None else t for x, t in survivors.places(edges, lo, hi).items()}
+        assert all(at[a] < at[b] for a, b in edges), (edges, lo, hi, at)
+        assert all(at[x] > t for x, t in lo.items()) and all(at[x] < t for x, t in hi.items() if not any(at[x] > u for u in lo.values()))
+    assert survivors.places([(1, 2), (2, 1), (2, 3)], {}, {}) == {1: None, 2: None, 3: survivors.OLDEST + 1}
+
+
 def test_name_words(spark):
     df = spark.createDataFrame([("Élodie  O'Roe-Smith_X",), (None,), ("--",)], "n string")
     assert [r.w for r in df.select(names.words(df.n).alias("w")).collect()] == [["elodie", "oroe", "smith", "x"], None, []]
