@@ -2,6 +2,8 @@ import datetime as dt
 import random
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from springfloor.llm import components, domains, linkage, mapping, names, survivors
 from springfloor.llm import queries as q
 
@@ -133,6 +135,42 @@ def test_currency(spark):
     assert t(5) < got[102] < t(9) and got[103] is None and got[101] == t(9)
 
 
+def test_two_edits_and_an_initial_beyond_the_hot_key_limit(spark):
+    zeros = {f"{x}_score": "0" for x in ("vt", "ub", "bb", "fx", "aa")}
+    rng = random.Random(10)
+    crowd = ["".join(rng.choice("bcdfghkl") for _ in range(9)) for _ in range(survivors.HOT_KEY + 6)]
+    linked = [("J. Smithson", "Jane Smythsen"), ("Ana Petra Cbat", "Ana Petra Tabc"), ("Q. " + "abcdefghij" * 5, "Quin x" + "abcdefghij" * 4 + "abcxdefghij")]
+    rows = [_gold(gold_id=100 + i, **BASE | zeros | {"athlete_name": n.title(), "meet_name": f"Meet {n}"}) for i, n in enumerate(crowd)]
+    rows += [_gold(gold_id=10 * i + k, **BASE | zeros | {"athlete_name": n, "meet_name": "Zero Open"}) for i, pair in enumerate(linked) for k, n in enumerate(pair)]
+    got = {(r.group_id, r.id) for r in survivors.duplicate_groups(gold_frame(spark, rows), q._APPEARANCE).collect() if r.id < 100}
+    assert got == {(10 * i, 10 * i + k) for i in range(len(linked)) for k in range(2)}
+
+
+def test_near_words_share_a_near_key(spark):
+    rng = random.Random(9)
+    words = [("".join(rng.choice("abcd") for _ in range(rng.choice([3, 4, 5, 6, 7, 9, 38, 39, 40, 41, 42, 60])))) for _ in range(150)]
+    changed = []
+    for w in words:
+        for _ in range(3):
+            v = list(w)
+            for _ in range(rng.randint(1, 2)):
+                i = rng.randrange(len(v))
+                kind = rng.randrange(4)
+                if kind == 0:
+                    v[i] = rng.choice("abcd")
+                elif kind == 1 and len(v) > 3:
+                    del v[i]
+                elif kind == 2:
+                    v.insert(i, rng.choice("abcd"))
+                else:
+                    j = rng.randrange(len(v))
+                    v[i], v[j] = v[j], v[i]
+            changed.append((w, "".join(v)))
+    df = spark.createDataFrame(changed, "a string, b string").filter(names.near(F.col("a"), F.col("b")))
+    assert df.count() > 250
+    assert df.filter(~F.arrays_overlap(names.near_keys(F.col("a")), names.near_keys(F.col("b")))).collect() == []
+
+
 def _learning(groups=4):
     """Rows from which draft < live < final is learned, but never draft < final."""
     t = lambda n: dt.datetime(2024, 1, n)
