@@ -88,6 +88,26 @@ def test_word_neighbours_find_all_near_words(spark):
             assert near[a] & near[b], (a, b)
 
 
+def test_word_neighbours_at_three_edits(spark):
+    rng = random.Random(11)
+    pairs = [("zelostanye", "zeloutaoyye"), ("jorimaoglu", "jormogul"), ("tanrmiois", "tarnimoios"), ("abcdefg", "abxdyfz"), ("roenstadt", "roenst"), ("roenstads", "orentsasd")]
+    for _ in range(60):
+        v = list(w := "".join(rng.choice("abcdefgh") for _ in range(rng.randint(7, 10))))
+        for i in rng.sample(range(len(v) - 1), 3):
+            if rng.random() < 0.5:
+                v[i] = rng.choice("abcdefgh")
+            else:
+                v[i], v[i + 1] = v[i + 1], v[i]
+        pairs.append((w, "".join(v)))
+    words = sorted({w for p in pairs for w in p})
+    near = {}
+    for r in linkage.word_neighbours(spark.createDataFrame([(w, 1) for w in words], "w string, f bigint")).collect():
+        near.setdefault(r.w, set()).add(r.v)
+    for a, b in combinations(words, 2):
+        if linkage._osa(a, b) <= 3 and min(len(a), len(b)) >= 7:
+            assert near[a] & near[b], (a, b)
+
+
 def _gold(**kw):
     row = {c: None for c in q.GOLD_FIELDS} | {"gold_id": 1, "source": "s", "updated_at": None}
     return row | kw
