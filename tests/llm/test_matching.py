@@ -67,6 +67,14 @@ def test_people(spark):
     assert pairs(spark, PEOPLE[:1]) == set()
 
 
+def test_counts_do_not_part_people_of_one_birth_date(spark):
+    known = [(100 + i, f"{w} Xqw{'abcdefgh'[i % 8]}zzt{i}", "F", f"2009-01-{i + 1:02}") for i, w in enumerate(["Ellarina"] * 5 + ["Ellarine"] * 5 + ["Josei"] * 5)]
+    people = [(1, "Ellarina Vosk", "F", "2011-05-06"), (2, "Ellarine Vosk", "F", "2011-05-06"), (3, "Josei Tarn", "F", "2011-07-06"), (4, "Josephine Tarn", "F", "2011-07-06"), (5, "Ellarine Vosk", "F", "2012-01-01")]
+    got = {p for p in pairs(spark, known + people) if max(p) < 100}
+    assert got == {(1, 2), (3, 4)}
+    assert linkage.Aligner({}, True).cost([("ellarina", 5), ("vosk", 2)], [("ellarine", 5), ("vosk", 2)]) is None
+
+
 def test_clubs(spark):
     clubs = ["Zandport Nova Gymnastics Club", "zandport nova GC", "The Zandport Nova Gymn. C.", "Zandprot Nova Gymnastics Club", "Zandport Comets Gymnastics Club", "East Zandport Nova Gymnastics Club", "Gymnastics Club Zandport Nova, ON", "Zandport Gymnastics Club", "Zandport S.o.G.", None, "Gym"]
     df = spark.createDataFrame(list(enumerate(clubs)), "club_id bigint, name string")
