@@ -75,6 +75,26 @@ def test_counts_do_not_part_people_of_one_birth_date(spark):
     assert linkage.Aligner({}, True).cost([("ellarina", 5), ("vosk", 2)], [("ellarine", 5), ("vosk", 2)]) is None
 
 
+def test_long_names_align_as_short_ones(monkeypatch):
+    long = "alba berit corin doria elwyn fenna gusto halda ivory jarek kolva lumen mirth".split()
+    name = lambda ws: [(w, 1) for w in ws]
+    a = linkage.Aligner({}, True)
+    assert a.cost(name(long), name(long)) == 0.0
+    assert a.cost(name(long), name(["zzyzx", *long[1:]])) is None
+    assert a.cost(name(long), name([*long[:4], "elwny", *long[5:]])) == 1.0
+    assert a.cost(name(long), name([*long[6:], *long[:6]])) == 0.0
+    assert round(a.cost(name(long), name([*long[:12], "m"])), 6) == 0.7
+    rng = random.Random(12)
+    words = ["ann", "anna", "anne", "hanna", "a", "b", "berta", "berto", "bert", "al", "tom", "toma"]
+    cases = [tuple(name(rng.choices(words, k=rng.randint(1, 6))) for _ in range(2)) for _ in range(1500)]
+    short = [a.cost(x, y) for x, y in cases]
+    monkeypatch.setattr(linkage.Aligner, "SUBSETS", 0)
+    for (x, y), want in zip(cases, short):
+        got = a.cost(x, y)
+        same = [w for w, _ in x] == [w for w, _ in y]
+        assert same or len(y) < 2 or len(x) < 2 or (got is None) == (want is None) and (want is None or abs(got - want) < 1e-6), (x, y, got, want)
+
+
 def test_clubs(spark):
     clubs = ["Zandport Nova Gymnastics Club", "zandport nova GC", "The Zandport Nova Gymn. C.", "Zandprot Nova Gymnastics Club", "Zandport Comets Gymnastics Club", "East Zandport Nova Gymnastics Club", "Gymnastics Club Zandport Nova, ON", "Zandport Gymnastics Club", "Zandport S.o.G.", None, "Gym"]
     df = spark.createDataFrame(list(enumerate(clubs)), "club_id bigint, name string")
