@@ -196,7 +196,7 @@ def test_two_edits_and_an_initial_beyond_the_hot_key_limit(spark):
 
 def test_candidates_of_short_names_missing_dates_and_new_year(spark):
     few = {"ub_score": None, "bb_score": None, "aa_score": None, "ub_d": None, "bb_d": None, "aa_d": None, "athlete_name": "Mia Cho"}
-    rows = [_gold(gold_id=1, **BASE | few), _gold(gold_id=2, **BASE | few | {"athlete_name": "CHO, Mia"})]
+    rows = [_gold(gold_id=1, **BASE | few), _gold(gold_id=2, **BASE | few | {"athlete_name": "CHO, Mia", "vt_rank": "3"})]
     rows += [_gold(gold_id=3, **BASE | {"vt_score": "9.9", "ub_score": "7.7", "athlete_name": "Boris Vellmark"}), _gold(gold_id=4, **BASE | {"vt_score": "9.9", "ub_score": "7.7", "athlete_name": "Boris Vellmark", "meet_date": None, "meet_name": "Tset Open"})]
     rows += [_gold(gold_id=i, **BASE | {"vt_score": "6.1", "athlete_name": n, "meet_date": d, "meet_name": m}) for i, n, d, m in ((5, "Dohra Tarnholm", "2023-12-31", "Eve Cup"), (6, "Dorah Tranholm", "2024-01-01", "New Year Cup"))]
     got = {(r.group_id, r.id) for r in survivors.duplicate_groups(gold_frame(spark, rows), q._APPEARANCE).collect()}
