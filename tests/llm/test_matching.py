@@ -67,31 +67,77 @@ def test_people(spark):
     assert pairs(spark, PEOPLE[:1]) == set()
 
 
-def test_counts_do_not_part_people_of_one_birth_date(spark):
+def test_established_words_and_births(spark):
+    # both spellings stand in many distinct names: two names, unless the whole birth dates agree
     known = [(100 + i, f"{w} Xqw{'abcdefgh'[i % 8]}zzt{i}", "F", f"2009-01-{i + 1:02}") for i, w in enumerate(["Ellarina"] * 5 + ["Ellarine"] * 5 + ["Josei"] * 5)]
-    people = [(1, "Ellarina Vosk", "F", "2011-05-06"), (2, "Ellarine Vosk", "F", "2011-05-06"), (3, "Josei Tarn", "F", "2011-07-06"), (4, "Josephine Tarn", "F", "2011-07-06"), (5, "Ellarine Vosk", "F", "2012-01-01")]
+    people = [(1, "Ellarina Vosk", "F", "2011-05-06"), (2, "Ellarine Vosk", "F", "2011-05-06"), (3, "Josei Tarn", "F", "2011-07-06"), (4, "Josephine Tarn", "F", "2011-07-06"), (5, "Ellarine Vosk", "F", "2012-01-01"), (6, "Ellarina Quib", "F", None), (7, "Ellarine Quib", "F", "2011-03-03")]
     got = {p for p in pairs(spark, known + people) if max(p) < 100}
     assert got == {(1, 2), (3, 4)}
-    assert linkage.Aligner({}, True).cost([("ellarina", 5), ("vosk", 2)], [("ellarine", 5), ("vosk", 2)]) is None
+    a = linkage.Aligner({}, True)
+    x, y = [("ellarina", True, False), ("vosk", False, False)], [("ellarine", True, False), ("vosk", False, False)]
+    assert a.cost(x, y) is a.cost(x, y, linkage.YEAR) is None and a.cost(x, y, linkage.DAY) == 1.0
+    assert {tuple(r) for r in linkage.established(spark.createDataFrame([(["a", "b"],)] * 9 + [(["b", "a"],), (["a", "c"],), (["a", "d"],), (["a", "e"],)], "words array<string>")).filter("w in ('a', 'b')").collect()} == {("a", 4, True), ("b", 1, False)}
+
+
+def test_copies_do_not_part_names(spark):
+    names_ = [("Alpha Roenstad", "2010-01-02"), ("Alpha Roenstat", "2010-01-02"), ("Bertil Quistberg", None), ("Bertil Quisdberg", None)]
+    got = pairs(spark, [(10 * k + i, n, "F", day) for k in range(3) for i, (n, day) in enumerate(names_)])
+    groups = [[10 * k + i for k in range(3) for i in two] for two in ((0, 1), (2, 3))]
+    assert got == {(a, b) for g in groups for a, b in combinations(sorted(g), 2)}
+
+
+def test_what_may_be_left_out_without_a_birth_date(spark):
+    people = [
+        (1, "Alpha Josephine Roenstad", "F", "2010-01-02"), (2, "Josephine Roenstad", "F", None), (3, "Alpha Roenstad", "F", None), (4, "Berit Quist-Tarnholm", "F", None), (5, "Berit Quist", "F", "2011-01-01"), (6, "Berit Tarnholm", "F", "2012-01-01"),
+        (7, "Carla Elin Maskow", "F", "2010"), (8, "Elin Maskow", "F", "2010-04-04"), (9, "Dorian E. Voss", "M", None), (10, "Dorian Voss", "M", "2010-05-05"),
+    ]
+    assert pairs(spark, people) == {(1, 3), (7, 8), (9, 10)}
+
+
+def test_three_slips_and_thirteen_words(spark):
+    long = "alba berit corin doria elwyn fenna gusto halda ivory jarek kolva lumen mirth".split()
+    people = [(1, "Alba Zelostanye", "F", "2010-01-02"), (2, "Alba Zeloutaoyye", "F", "2010-01-02"), (3, " ".join(long), "F", None), (4, " ".join([*long[:5], "fenma", *long[6:]]), "F", None)]
+    assert pairs(spark, people) == {(1, 2), (3, 4)}
+
+
+def test_refined_hot_keys_lose_no_link(spark, monkeypatch):
+    rng = random.Random(5)
+    given = ["Alpha", "Alhpa", "Bertil", "Berti", "Corinna", "Corina", "A.", "Dorothea", "Dora", "Ber"]
+    people = [(i, " ".join([rng.choice(given), *rng.sample(["Maria", "Mariä", "Silva", "Silvan", *given], rng.randint(1, 2)), "Roenstad"]), "F", rng.choice([None, None, "2010", "2010-01-02", "2010-03-04"])) for i in range(150)]
+    df = spark.createDataFrame(people, "person_id bigint, full_name string, gender string, dob string")
+    r = linkage.person_records(df, "person_id", "full_name", "dob", "gender")
+    links = lambda: {(x.a, x.b, x.cost) for x in linkage.name_links(r, domains.NICKNAMES).collect()}
+    want = links()
+    monkeypatch.setattr(linkage, "HOT_KEY", 2)
+    assert links() == want and len(want) > 300
+
+
+def test_entities_keep_every_record(spark):
+    df = spark.createDataFrame([*PEOPLE, PEOPLE[0], (20, "Alpha Josephine Roenstad", "F", "2010-01-02")], "person_id bigint, full_name string, gender string, dob string")
+    r = linkage.person_records(df, "person_id", "full_name", "dob", "gender")
+    got = {x.id: x for x in linkage.entities(r, linkage.name_links(r, domains.NICKNAMES)).collect()}
+    assert set(got) == {p[0] for p in PEOPLE if p[1]} | {20}
+    assert got[1].entity == got[2].entity == got[20].entity == 1 and got[11].links == 0 and got[20].links == got[1].links > 0
 
 
 def test_long_names_align_as_short_ones(monkeypatch):
     long = "alba berit corin doria elwyn fenna gusto halda ivory jarek kolva lumen mirth".split()
-    name = lambda ws: [(w, 1) for w in ws]
+    name = lambda ws, go=True: [(w, False, go) for w in ws]
     a = linkage.Aligner({}, True)
     assert a.cost(name(long), name(long)) == 0.0
     assert a.cost(name(long), name(["zzyzx", *long[1:]])) is None
     assert a.cost(name(long), name([*long[:4], "elwny", *long[5:]])) == 1.0
     assert a.cost(name(long), name([*long[6:], *long[:6]])) == 0.0
     assert round(a.cost(name(long), name([*long[:12], "m"])), 6) == 0.7
+    assert round(a.cost(name(long[:5] + long[6:]), name(long)), 6) == 0.3 and a.cost(name(long[:5] + long[6:]), name(long, False)) is None
     rng = random.Random(12)
     words = ["ann", "anna", "anne", "hanna", "a", "b", "berta", "berto", "bert", "al", "tom", "toma"]
-    cases = [tuple(name(rng.choices(words, k=rng.randint(1, 6))) for _ in range(2)) for _ in range(1500)]
+    cases = [tuple([(w, rng.random() < 0.3, rng.random() < 0.7) for w in rng.choices(words, k=rng.randint(1, 6))] for _ in range(2)) for _ in range(1500)]
     short = [a.cost(x, y) for x, y in cases]
     monkeypatch.setattr(linkage.Aligner, "SUBSETS", 0)
     for (x, y), want in zip(cases, short):
         got = a.cost(x, y)
-        same = [w for w, _ in x] == [w for w, _ in y]
+        same = [w for w, _, _ in x] == [w for w, _, _ in y]
         assert same or len(y) < 2 or len(x) < 2 or (got is None) == (want is None) and (want is None or abs(got - want) < 1e-6), (x, y, got, want)
 
 
