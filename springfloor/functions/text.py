@@ -129,7 +129,7 @@ def country(location: Column, source: Column, name: Column) -> Column:
     """CAN or USA by source, then the first known code in the location, then a province's
     name in it, then words of the meet's name; else null."""
     loc, nm = F.upper(F.trim(location)), F.upper(name)
-    known = F.filter(F.split(loc, r"[,\s]+"), lambda t: t.isin(*config.STATES, *config.PROVINCES, *config.PROVINCE_NAMES))
+    known = F.filter(F.split(loc, r"[,\s]+"), lambda t: t.isin(*config.STATES, *config.PROVINCES))
     first = F.try_element_at(known, F.lit(1))
     contains = lambda c, xs: reduce(lambda p, q: p | q, [c.contains(x) for x in xs])
     return (
@@ -193,6 +193,16 @@ def column_name(header: str | None, aliases: dict[str, str]) -> str:
     return known or re.sub(r"[^a-z0-9]+", "_", raw.lower().replace("#", "num").replace("%", "pct")).strip("_") or "col_unknown"
 
 
+def column_key(header: Column, aliases: dict[str, str]) -> Column:
+    """``column_name`` as an expression over a column of headers."""
+    raw = F.trim(header)
+    pairs = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv]) if m else F.create_map().cast("map<string,string>")
+    by_case = {k.lower(): v for k, v in reversed(aliases.items())}
+    plain = F.regexp_replace(F.replace(F.replace(F.lower(raw), F.lit("#"), F.lit("num")), F.lit("%"), F.lit("pct")), "[^a-z0-9]+", "_")
+    plain = F.nullif(F.trim(plain, F.lit("_")), F.lit(""))
+    return F.coalesce(F.try_element_at(pairs(aliases), raw), F.try_element_at(pairs(by_case), F.lower(raw)), plain, F.lit("col_unknown"))
+
+
 @pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two texts, in lexical order (it isn't symmetric)."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import blank_to_null, is_number, is_scratch, to_float
+from ..functions.text import blank_to_null, is_scratch, to_float
 from ..runtime import col
 
 RESULT_COLUMN = re.compile(r"^Result_(.*)_(Score|D|Rnk|E|SV|Bonus|Penalty|Total|Exec_Bonus|Execution_Bonus)$")
@@ -48,6 +48,17 @@ def triplet_headers(header: list[str], apparatus: tuple[str, ...], suffixes: tup
     return out
 
 
+def header_row(rows: list[list[str]], words: tuple[str, ...] = ("name", "athlete", "gymnast", "competitor")) -> int:
+    """The first of the leading rows with a cell that is one of the words; -1 if there is none."""
+    return next((i for i, r in enumerate(rows) if any(c.strip().lower() in words for c in r)), -1)
+
+
+def without_index(header: list[str]) -> list[int]:
+    """Positions of a header without a leading index column (blank, unnamed or ``#``-less number)."""
+    first = header[0].strip().lower() if header else "x"
+    return list(range(1 if first == "" or first.startswith("unnamed") or first == "0" else 0, len(header)))
+
+
 def two_row_headers(top: list[str], below: list[str]) -> list[str]:
     """One header from two rows: an apparatus over D, Score (and Rnk) becomes a pair or a
     triple, over blanks a score; names that repeat get a running number."""
@@ -72,7 +83,7 @@ def unpivot_results(rows: DataFrame, keys: list[str]) -> DataFrame:
     parts = list(dict.fromkeys(PARTS.values()))
     item = lambda a, ps: F.struct(F.lit(a).alias("apparatus"), *[(blank_to_null(col(ps[p])) if p in ps else F.lit(None).cast("string")).alias(p) for p in parts])
     out = rows.select(*keys, F.explode(F.array(*[item(a, ps) for a, ps in found.items()])).alias("r")).select(*keys, "r.*")
-    return out.filter("score is not null or d is not null or sv is not null").withColumn("apparatus", apparatus_name(F.col("apparatus")))
+    return out.filter("score is not null or total is not null or d is not null or sv is not null").withColumn("apparatus", apparatus_name(F.col("apparatus")))
 
 
 def settled_scores(rows: DataFrame) -> DataFrame:
@@ -80,12 +91,13 @@ def settled_scores(rows: DataFrame) -> DataFrame:
     score (scratches apart), whose word then is the rank if there is none; numbers and texts apart."""
     s = F.coalesce(F.col("total"), F.col("score"))
     d = F.coalesce(F.col("d"), F.col("sv"))
-    swap = is_number(d) & ~is_number(s) & ~is_scratch(s)
-    word = ~is_number(s) & s.isNotNull()
+    number = lambda x: to_float(x).isNotNull()
+    swap = number(d) & ~number(s) & ~is_scratch(s)
+    word = ~number(s) & s.isNotNull()
     rank = F.when(F.col("rank").isNull() & word, s).otherwise(F.col("rank"))
     final = F.when(swap, d).otherwise(s)
     return rows.withColumns(
-        {"score_final": to_float(final), "score_text": F.when(~is_number(final), final), "score_d": to_float(d), "d_text": F.when(~is_number(d), d), "rank_text": rank}
+        {"score_final": to_float(final), "score_text": F.when(~number(final), final), "score_d": to_float(d), "d_text": F.when(~number(d), d), "rank_text": rank}
     ).drop("score", "total", "d", "sv", "rank")
 
 
@@ -133,14 +145,6 @@ def folded(rows: DataFrame, keep: list[str], bag: str) -> DataFrame:
     return rows.select(*keep, F.when(F.size(merged) > 0, F.to_json(merged)).alias(bag))
 
 
-def header_discipline(headers: Column) -> Column:
-    """M or F from an array of headers, by the first that names an apparatus only one has."""
-    mag, wag = ("Pommel", "Rings", "Parallel", "High_Bar", "HighBar", "High Bar"), ("Uneven", "Beam")
-    telling = F.filter(headers, lambda h: reduce(lambda p, q: p | q, [h.contains(x) for x in mag + wag]))
-    first = F.try_element_at(telling, F.lit(1))
-    return F.when(reduce(lambda p, q: p | q, [first.contains(x) for x in mag]), "M").when(first.isNotNull(), "F").otherwise("Unknown")
-
-
 def grid(rows: DataFrame, keys: list[str], gender: str) -> DataFrame:
     """A wide row as three: final score, D and rank over the apparatus."""
     order = config.GOLD_ORDER[gender]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,14 +67,23 @@ def links(rows: DataFrame, left: str, right: str) -> DataFrame:
 
 def upgraded(rows: DataFrame, keys: list[str], order: list[Column], bag: str) -> DataFrame:
     """One row per key: each column's first non-null value by ``order``, JSON objects merged
-    with earlier rows winning."""
-    w = W.partitionBy(*keys).orderBy(*order)
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    with earlier rows winning. Null order values come first; rows equal in order are
+    taken by their values. Unreadable JSON gives nothing.
+
+    Combining aggregates only: per key and column, and per key and JSON field, the
+    first value; no group of rows is ever held together.
+    """
+    at = F.struct(*[x.alias(f"o{i}") for x, i in zip(order, range(len(order)))])
     rest = [c for c in rows.columns if c not in keys and c != bag]
-    maps = F.collect_list(F.from_json(bag, "map<string,string>")).over(whole)
-    merged = F.aggregate(maps, F.create_map().cast("map<string,string>"), lambda a, m: F.map_zip_with(a, m, lambda k, x, y: F.coalesce(x, y)))
-    out = rows.select(*keys, *[F.first(c, ignorenulls=True).over(whole).alias(c) for c in rest], F.when(F.size(merged) > 0, F.to_json(merged)).alias(bag), F.row_number().over(w).alias("__n"))
-    return out.filter("__n = 1").drop("__n")
+    firsts = rows.withColumn("__at", at).groupBy(*keys).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(F.col("__at"), F.col(c)))).alias(c) for c in rest])
+    pair = F.explode(F.map_entries(F.from_json(bag, "map<string,string>"))).alias("e")
+    each = rows.select(*keys, at.alias("at"), pair).select(*keys, F.col("e.key").alias("f"), F.col("e.value").alias("v"), "at").filter("v is not null")
+    fields = each.groupBy(*keys, "f").agg(F.min_by("v", F.struct("at", "v")).alias("v"))
+    bags = fields.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("f", "v"))).alias("fs"))
+    right = [F.col(k).alias(f"__{k}") for k in keys]
+    same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    out = firsts.join(bags.select(*right, F.to_json(F.map_from_entries("fs")).alias(bag)), same, "left")
+    return out.select(*keys, *rest, bag)
 
 
 def overlaid(rows: DataFrame, manual: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import sql_literal
+from ..runtime import file_system
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -17,16 +18,34 @@ def replace_table(df: DataFrame, path: str) -> None:
 def append_new(df: DataFrame, path: str, key: list[str]) -> None:
     """Append the rows whose key isn't there yet (insert or ignore)."""
     old = df.sparkSession.read.parquet(path).select(*key)
+    if not key:
+        raise ValueError("append_new needs a key")
     first = df.withColumn("__n", F.row_number().over(W.partitionBy(*key).orderBy(*[c for c in df.columns if c not in key] or key))).filter("__n = 1").drop("__n")
     first.join(old, key, "left_anti").write.mode("append").parquet(path)
 
 
 def swap_table(df: DataFrame, path: str, expected: int) -> None:
-    """Write a new version beside a table and refuse it unless it has the expected rows."""
-    df.write.mode("overwrite").parquet(path)
-    n = df.sparkSession.read.parquet(path).count()
+    """Replace a table by a new version of exactly the expected rows.
+
+    The new version is written beside the table and counted; only if it is right do two
+    renames put it in place. A refused version is deleted and the table stays as it is.
+    """
+    spark = df.sparkSession
+    beside, old = f"{path}__new", f"{path}__old"
+    fs, target = file_system(spark, path)
+    new, gone = file_system(spark, beside)[1], file_system(spark, old)[1]
+    if not fs.exists(target) and fs.exists(gone):  # a swap that was cut off between its renames
+        fs.rename(gone, target)
+    df.write.mode("overwrite").parquet(beside)
+    n = spark.read.parquet(beside).count()
     if n != expected:
-        raise ValueError(f"{path} has {n} rows, {expected} expected")
+        fs.delete(new, True)
+        raise ValueError(f"{path}: the new version has {n} rows, {expected} expected")
+    fs.delete(gone, True)
+    if fs.exists(target):
+        fs.rename(target, gone)
+    fs.rename(new, target)
+    fs.delete(gone, True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

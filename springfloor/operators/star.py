@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import leading_int
+from ..functions.text import is_number, leading_int
 from ..runtime import broadcast_if_small
 
 
@@ -73,9 +73,11 @@ def similar_rows_kept(rows: DataFrame, key: str, scores: list[str], total: str,
     Rows are taken with the most scores first, then with a level, then not combined,
     then by key. A row repeats a kept one if the totals agree within 0.005, or 80 %
     of the compared scores, or four and all but two. Text scores count if equal.
-    The fold runs over the rows of one athlete on one day.
+    Rows without an athlete or a date are of nobody and stay, and so do rows without
+    any score. Exact copies are collapsed first, so that the fold runs over the
+    different results of one athlete on one day, however often each is there.
     """
-    num = lambda c: F.trim(c).try_cast("double")
+    num = lambda c: F.when(is_number(F.col(c)), F.trim(c).try_cast("double"))
     there = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
     n = reduce(lambda p, q: p + q, [there(c).cast("int") for c in scores])
     low = F.lower(F.trim(level))
@@ -91,11 +93,14 @@ def similar_rows_kept(rows: DataFrame, key: str, scores: list[str], total: str,
         close = F.coalesce((kept.a != 0) & (x.a != 0) & (F.abs(kept.a - x.a) < 0.005), F.lit(False))
         return close | (compared > 0) & ((equal >= 0.8 * compared) | (equal >= 4) & (equal >= compared - 2))
 
-    groups = rows.groupBy(athlete, date).agg(F.array_sort(F.collect_list(item)).alias("xs"))
+    folds = (n > 0) & there(athlete) & there(date)
+    # of copies equal in all that the fold looks at the first is the only candidate
+    seen = rows.filter(folds).select(athlete, date, item.alias("x")).groupBy(athlete, date, *[F.col(f"x.{c}").alias(c) for c in "nlc"], F.to_json(F.struct("x.s", "x.a")).alias("j")).agg(F.min_by("x", "x.k").alias("x"))
+    groups = seen.groupBy(athlete, date).agg(F.array_sort(F.collect_list("x")).alias("xs"))
     start = F.slice("xs", 1, 0)
     kept = F.aggregate("xs", start, lambda acc, x: F.when(F.exists(acc, lambda y: repeats(y, x)), acc).otherwise(F.concat(acc, F.array(x))))
     keys = groups.select(F.explode(F.transform(kept, lambda x: x.k)).alias(key))
-    return rows.join(keys, key, "left_semi")
+    return rows.filter(folds).join(keys, key, "left_semi").unionByName(rows.filter(~folds))
 
 
 def fullest_kept(rows: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import dates, text
 from ..operators import reshape, resolve, sinks, star
-from ..runtime import broadcast_if_small, table
+from ..runtime import broadcast_if_small, file_system, scratch, table
 from ..streaming import intake
 
 QUERIES: dict = {}
@@ -134,7 +134,7 @@ def meets_without_results(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "meets").join(table(spark, d, "results_v2").select("meet_db_id"), "meet_db_id", "left_anti").select("meet_db_id")
 
 
-_ALIASES = (("SNG", "Senior Next Gen"), ("SR-NG", "Senior Next Gen"), ("JR", "Junior"), ("SR", "Senior"), ("P1", "Provincial 1"), ("P2", "Provincial 2"), ("P3", "Provincial 3"), ("LEVEL10", "Level 10"))
+_ALIASES = tuple(config.LEVELS.items())
 _ALIAS_SQL = "(values " + ", ".join(f"('{a}', '{c}', {i})" for i, (a, c) in enumerate(_ALIASES)) + ") t(alias, canonical, pos)"
 
 
@@ -196,9 +196,12 @@ _NUM = "coalesce(regexp_full_match(trim({c}), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)
 _SCR = "coalesce(upper(trim({c})) in ('S', 'DNS', 'SCRATCH', 'SCR', 'WD', 'SC') or upper(trim({c})) like 'SCR%', false)"
 
 
-@query(f"""with u as ({SQL["unpivoted_scores"]}), s as (select *, {_NUM.format(c="d")} and not {_NUM.format(c="score")} and not {_SCR.format(c="score")} as swap from u), f as (select *, case when swap then d else score end as fin from s)
-  select gold_id, apparatus, case when {_NUM.format(c="replace(fin, ',', '')")} then trim(replace(fin, ',', ''))::double end as score_final, case when not {_NUM.format(c="fin")} then fin end as score_text, case when {_NUM.format(c="replace(d, ',', '')")} then trim(replace(d, ',', ''))::double end as score_d,
-  case when rank is null and not {_NUM.format(c="score")} and score is not null then score else rank end as rank_text from f""")
+_N = lambda c: _NUM.format(c=f"replace({c}, ',', '')")
+
+
+@query(f"""with u as ({SQL["unpivoted_scores"]}), s as (select *, {_N("d")} and not {_N("score")} and not {_SCR.format(c="score")} as swap from u), f as (select *, case when swap then d else score end as fin from s)
+  select gold_id, apparatus, case when {_N("fin")} then trim(replace(fin, ',', ''))::double end as score_final, case when not {_N("fin")} then fin end as score_text, case when {_N("d")} then trim(replace(d, ',', ''))::double end as score_d,
+  case when rank is null and not {_N("score")} and score is not null then score else rank end as rank_text from f""")
 def settled_scores(spark: SparkSession, d: str) -> DataFrame:
     return reshape.settled_scores(_long_gold(spark, d)).select("gold_id", "apparatus", "score_final", "score_text", "score_d", "rank_text")
 
@@ -256,7 +259,7 @@ _IN = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 
 @query(f"""select meet_db_id, case when lower(source) = 'kscore' then 'CAN' when first in {_IN(config.STATES)} then 'USA' when first is not null then 'CAN'
   when {" or ".join(f"contains(upper(location), '{x}')" for x in config.PROVINCES_IN_TEXT)} then 'CAN' when contains(upper(name), 'CANADIAN') or contains(upper(name), 'CANADA') then 'CAN' when contains(upper(name), 'USA') or contains(upper(name), 'AAU') then 'USA' end as country
-  from (select *, list_filter(regexp_split_to_array(upper(trim(location)), '[,\\s]+'), lambda t: t in {_IN([*config.STATES, *config.PROVINCES, *config.PROVINCE_NAMES])})[1] as first from meets)""")
+  from (select *, list_filter(regexp_split_to_array(upper(trim(location)), '[,\\s]+'), lambda t: t in {_IN([*config.STATES, *config.PROVINCES])})[1] as first from meets)""")
 def countries(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "meets").select("meet_db_id", text.country(F.col("location"), F.col("source"), F.col("name")).alias("country"))
 
@@ -411,7 +414,7 @@ def stream_first_wins(spark: SparkSession, d: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, d: str, plan, name: str) -> DataFrame:
     """A stream over the events table, run until all is read."""
-    out = intake.scratch(spark, name)
+    out = scratch(spark, name)
     path = f"{d}/events.parquet"
     schema = spark.read.parquet(path).schema
     folder = path if _is_folder(spark, path) else f"{d}/events*.parquet"
@@ -421,8 +424,8 @@ def _streamed(spark: SparkSession, d: str, plan, name: str) -> DataFrame:
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+    fs, p = file_system(spark, path)
+    return fs.getFileStatus(p).isDirectory()
 
 
 @query("select event_type, count(*) as n, sum(value::decimal(18,4))::double as total from events where ts >= (select max(ts) - interval 30 day from events) group by 1")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
@@ -30,6 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
         folder = getattr(spark.sparkContext, "_springfloor_folder", None)
         if not folder:
             folder = tempfile.mkdtemp(prefix="springfloor-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
             spark.sparkContext._springfloor_folder = folder
     return folder.rstrip("/")
 
@@ -41,11 +45,34 @@ def materialize(df: DataFrame) -> DataFrame:
     later ones runs once and survives lost executors. Parquet rather than RDD
     checkpoints: later readers prune columns and the planner learns the size.
     """
-    path = f"{shared_folder(df.sparkSession)}/springfloor/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, in this application's own part of it, which goes
+    when the application ends (or with ``clean``)."""
+    root = shared_folder(spark)
+    if not getattr(spark.sparkContext, "_springfloor_cleans", False):
+        spark.sparkContext._springfloor_cleans = True
+        atexit.register(clean, spark)
+    return f"{root}/springfloor/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that this application wrote to the shared folder. What reads from it must be done."""
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        fs, p = file_system(spark, f"{shared_folder(spark)}/springfloor/{spark.sparkContext.applicationId}")
+        fs.delete(p, True)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate (exact file size for plain scans)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

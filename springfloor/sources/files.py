@@ -6,39 +6,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null
 from ..operators.badrows import with_cells
+from ..runtime import materialize
 
 
 def lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, line_no, line): every line with its number, counted from 1 within its file.
+    """(file, line_no, line): every line that isn't empty, counted from 1 within its file.
 
-    Files are read whole, so that the number is that of the file; result files are small.
+    Files are split where they are large. Within a split, lines are numbered in their order;
+    the counts of the splits before it are added, so no file is held by one task. Lines
+    that aren't UTF-8 are read as Latin-1; a byte order mark is taken off.
     """
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    text = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿", "").alias("value"))
-    each = text.select("file", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("i", "line"))
-    return each.filter("line != ''").select("file", (F.col("i") + 1).alias("line_no"), "line")
+    raw = F.col("value").cast("binary")
+    text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.decode(raw, "ISO-8859-1"))
+    at = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"), text.alias("line"))
+    blocks = at.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = blocks.select("file", "block", (F.sum("n").over(W.partitionBy("file").orderBy("block")) - F.col("n")).alias("before"))  # a row per split
+    here = F.row_number().over(W.partitionBy("file", "block").orderBy("i"))
+    each = at.withColumn("here", here).join(before, ["file", "block"]).select("file", (F.col("before") + F.col("here")).cast("int").alias("line_no"), F.regexp_replace("line", "^\ufeff", "").alias("line"))
+    return each.filter("line != ''")
+
+
+def records(text: DataFrame, header_words: tuple[str, ...] = ("name",), within: int = 10, together: bool = False) -> DataFrame:
+    """(file, row, fields) of CSV lines (file, line_no, line) of any header: fields is an array
+    of (pos, header, value), all text, blanks null.
+
+    The header is the first of the leading lines that has a cell containing one of the
+    words (``together``: cells equal to all of them), in any case, else the first
+    line. Cells beyond the header and repeats of the header line are left out. Rows
+    meet their file's header, one row per file, by a join that AQE may broadcast or
+    split; a row's cells are never shuffled apart.
+    """
+    rows = with_cells(text.select("file", "line_no", "line"), "line").select("file", "line_no", "cells")
+    low = F.transform("cells", lambda c: F.lower(F.trim(c)))
+    words = F.array(*[F.lit(w) for w in header_words])
+    hit = F.forall(words, lambda w: F.array_contains(low, w)) if together else F.exists("cells", lambda c: F.exists(words, lambda w: F.lower(c).contains(w)))
+    early = F.struct("line_no", F.transform("cells", F.trim).alias("headers"))
+    head = rows.groupBy("file").agg(F.coalesce(F.min(F.when(hit & (F.col("line_no") <= within), early)), F.min(early)).alias("h"))
+    body = rows.join(head, "file").filter((F.col("line_no") > F.col("h.line_no")) & (F.transform("cells", F.trim) != F.col("h.headers")))
+    value = lambda i: F.nullif(F.trim(F.try_element_at("cells", i)), F.lit(""))
+    pairs = F.transform(F.col("h.headers"), lambda h, i: F.struct((i).alias("pos"), h.alias("header"), value(i + 1).alias("value")))
+    return body.select("file", F.col("line_no").alias("row"), pairs.alias("fields"))
 
 
-def melted_csv(spark: SparkSession, path: str, glob: str | None = None, header_words: tuple[str, ...] = ("name",), within: int = 10) -> DataFrame:
-    """(file, row, pos, header, value) of CSV files of any header, all text, blanks null.
+def melted(text: DataFrame, header_words: tuple[str, ...] = ("name",), within: int = 10) -> DataFrame:
+    """(file, row, pos, header, value): the cells of ``records``, those that are there."""
+    each = records(text, header_words, within).select("file", "row", F.explode("fields").alias("x")).select("file", "row", "x.*")
+    return each.select("file", "row", "pos", "header", "value")
 
-    The header is the first of the leading lines that has a cell equal to or containing
-    one of the words, else the first line. Cells beyond the header and repeats of
-    the header line are left out.
-    """
-    rows = with_cells(lines(spark, path, glob), "line").select("file", "line_no", "cells")
-    hit = F.exists("cells", lambda c: F.exists(F.array(*[F.lit(w) for w in header_words]), lambda w: F.lower(c).contains(w)))
-    head = rows.groupBy("file").agg(F.coalesce(F.min_by("line_no", F.when(hit & (F.col("line_no") <= within), F.col("line_no"))), F.min("line_no")).alias("h"))
-    body = rows.join(head, "file")
-    header = body.filter("line_no = h").select("file", F.transform("cells", F.trim).alias("headers"))
-    out = body.filter("line_no > h").join(header, "file").filter(F.transform("cells", F.trim) != F.col("headers"))
-    pair = F.filter(F.arrays_zip(F.col("headers"), F.slice(F.col("cells"), F.lit(1), F.size("headers")).alias("cells")), lambda x: x["headers"].isNotNull())
-    each = out.select("file", F.col("line_no").alias("row"), F.posexplode(pair).alias("pos", "x"))
-    return each.select("file", "row", "pos", F.col("x.headers").alias("header"), blank_to_null(F.col("x.cells")).alias("value"))
+
+def melted_csv(spark: SparkSession, path: str, glob: str | None = None, header_words: tuple[str, ...] = ("name",), within: int = 10) -> DataFrame:
+    """``melted`` over the files of a folder."""
+    return melted(lines(spark, path, glob), header_words, within)
 
 
 def file_headers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -87,6 +109,38 @@ def failures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), found.alias("meet_id")).filter("meet_id != ''")
 
 
+def report_gaps(text: DataFrame) -> DataFrame:
+    """(meet_name, level, ghost) of a free-text audit report, as lines (file, line_no, line).
+
+    Lines of the section ``--- 3. Ghost Entries`` that name the source are ghosts (the meet
+    is what stands between the source and two blanks); in all sections, lines of the
+    form ``[source] Meet (Lvl X): Missing`` are gaps of one level. Sections are found
+    by the last heading before a line, whose number is one row per file.
+    """
+    heads = text.filter(F.col("line").startswith("---"))
+    start = heads.filter(F.col("line").startswith("--- 3. Ghost Entries")).groupBy("file").agg(F.min("line_no").alias("start"))
+    ghosts = text.join(start, "file").filter("line_no > start").select(F.trim(F.regexp_extract("line", r"livemeet\s+(.*?)\s{2,}", 1)).alias("meet_name"), F.lit(None).cast("string").alias("level"), F.lit(True).alias("ghost"))
+    gap = r"\[livemeet\] (.*?) \(Lvl (.*?)\): Missing"
+    gaps = text.select(F.trim(F.regexp_extract("line", gap, 1)).alias("meet_name"), F.trim(F.regexp_extract("line", gap, 2)).alias("level"), F.lit(False).alias("ghost"))
+    return ghosts.unionByName(gaps).filter("meet_name != ''").distinct()
+
+
+def targets(spark: SparkSession, path: str) -> DataFrame:
+    """(name): the distinct lines of a text file, trimmed, blanks left out."""
+    return spark.read.text(path).select(F.trim("value").alias("name")).filter("name != ''").distinct()
+
+
+def padded_rows(text: DataFrame, columns: list[str]) -> DataFrame:
+    """Ragged lines as rows of exactly these columns: missing cells are null, and what is
+    beyond them belongs to the last, commas included. Of lines with one first cell the
+    first in the file is kept; the header line is none."""
+    cells = F.split("line", ",", len(columns))
+    at = lambda i: F.nullif(F.trim(F.try_element_at(cells, F.lit(i + 1))), F.lit(""))
+    rows = text.select("file", "line_no", *[at(i).alias(c) for i, c in enumerate(columns)]).filter(F.col(columns[0]).isNotNull() & (F.col(columns[0]) != columns[0]))
+    first = rows.groupBy(columns[0]).agg(F.min(F.struct("file", "line_no", *columns[1:])).alias("x"))
+    return first.select(columns[0], *[F.col(f"x.{c}").alias(c) for c in columns[1:]])
+
+
 def dumped_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows of an SQL dump: the literals of each INSERT, by the given columns; NULL is null."""
     values = F.regexp_extract("value", r"(?i)^\s*INSERT INTO .*? VALUES\s*\((.*)\)[^)]*$", 1)
@@ -103,11 +157,15 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def every_nth(rows: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Every nth row in the given order, the first included. Rows are numbered by ranges:
-    sorted across partitions, counted per partition, offsets joined back."""
-    ordered = rows.orderBy(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
+    """Every nth row in the given order, the first included.
+
+    Rows are sorted once across partitions and written with their partition and place, so
+    that counts and rows are of the same ranges; places are then ranked within each
+    range and the counts of the ranges before it are added.
+    """
+    ordered = materialize(rows.orderBy(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()))
     local = ordered.withColumn("__r", F.row_number().over(W.partitionBy("__p").orderBy("__i")))
-    counts = local.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    counts = ordered.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.select("__p", (F.sum("__n").over(W.orderBy("__p")) - F.col("__n")).alias("__b"))  # a row per partition
     return local.join(F.broadcast(before), "__p").filter((F.col("__b") + F.col("__r") - 1) % n == 0).drop("__p", "__i", "__r", "__b")
 

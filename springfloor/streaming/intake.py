@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..runtime import shared_folder
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -48,10 +47,3 @@ def unknown_content(stream_batch: DataFrame, ledger_path: str, hash_column: str)
             raise
         return stream_batch
     return stream_batch.join(done, hash_column, "left_anti")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new place for a stream's output in the shared folder."""
-    import uuid
-
-    return f"{shared_folder(spark)}/springfloor/streams/{name}-{uuid.uuid4().hex}"
