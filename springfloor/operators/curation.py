@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,48 @@ def status_rows(status: DataFrame) -> DataFrame:
     return status.select("source", "meet_id", "status").orderBy("source", "meet_id")
 
 
+def page_of(kind: Column, meet_id: Column) -> Column:
+    """The page of a meet on its site, below the site's address."""
+    return (
+        F.when(kind == "kscore", F.concat(F.lit("results/"), F.replace(meet_id, F.lit("kscore_"), F.lit("")))).when(kind == "livemeet", F.concat(F.lit("MeetResults?Id="), meet_id))
+        .when(kind == "mso", F.concat(F.lit("Results/"), meet_id)).when(kind == "ksis", F.concat(F.lit("resultx.php?id_prop="), meet_id)).otherwise("Unknown URL")
+    )
+
+
+def kind_of(meet_id: Column) -> Column:
+    """The site an id looks like."""
+    return F.when(F.length(meet_id) == 32, "livemeet").when(meet_id.startswith("kscore_"), "kscore").otherwise("Unknown")
+
+
+def failure_report(failures: DataFrame, manifest: DataFrame, most: int = 50) -> DataFrame:
+    """(meet_id, fails, kind, name, page) of the ``most`` meets (meet_id) that fail most often;
+    what the manifests (meet_id, name, kind) don't know is told from the id."""
+    n = failures.groupBy("meet_id").agg(F.count(F.lit(1)).alias("fails"))
+    known = manifest.groupBy("meet_id").agg(F.min("kind").alias("kind"), F.min("name").alias("name"))
+    top = n.orderBy(F.desc("fails"), "meet_id").limit(most).join(known, "meet_id", "left")
+    kind = F.coalesce("kind", kind_of(F.col("meet_id")))
+    return top.select("meet_id", "fails", kind.alias("kind"), F.replace(F.coalesce("name", F.lit("Unknown Meet")), F.lit("|"), F.lit("-")).alias("name"), page_of(kind, F.col("meet_id")).alias("page"))
+
+
+def by_name(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+    """``rows`` with the meet_id of their name in ids (name, meet_id): by the name as it is, else
+    in small letters; rows without one are left out. Of ids of one name the least counts."""
+    exact = ids.groupBy(F.col("name").alias("__n")).agg(F.min("meet_id").alias("__e"))
+    low = ids.groupBy(F.lower("name").alias("__l")).agg(F.min("meet_id").alias("__f"))
+    out = rows.join(exact, F.col(name) == F.col("__n"), "left").join(low, F.lower(name) == F.col("__l"), "left")
+    return out.withColumn("meet_id", F.coalesce("__e", "__f")).filter("meet_id is not null").drop("__n", "__l", "__e", "__f")
+
+
+def remediation(gaps: DataFrame, ids: DataFrame) -> DataFrame:
+    """(meet_id, kind, reason, levels): meets with ghosts are fetched again in full, others only
+    in the levels with gaps, each level once. gaps: (meet_name, level, ghost)."""
+    g = by_name(gaps, "meet_name", ids)
+    full = g.filter("ghost").select("meet_id").distinct()
+    some = g.filter("not ghost").join(full, "meet_id", "left_anti").groupBy("meet_id").agg(F.array_sort(F.collect_set("level")).alias("levels"))
+    whole = full.select("meet_id", F.lit("full").alias("kind"), F.lit("Ghost Entries").alias("reason"), F.lit(None).cast("array<string>").alias("levels"))
+    return whole.unionByName(some.select("meet_id", F.lit("targeted").alias("kind"), F.lit("Missing Apparatus").alias("reason"), "levels"))
+
+
 def as_json(df: DataFrame) -> DataFrame:
     """(value): each row as one JSON object, nulls left out."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))

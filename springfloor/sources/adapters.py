@@ -131,25 +131,26 @@ def _settled(r: Column, move_text: bool) -> Column:
     )
 
 
-def _with_all_around(results: Column) -> Column:
-    """Settled results of one athlete and, where no all-around is among them, its sums, and
-    the sum of D for an all-around without D."""
-    apart = F.filter(results, lambda r: ~r["apparatus"].isin(config.ALL_AROUND, "Team"))
-    total = lambda f: F.aggregate(F.filter(apart, lambda r: r[f].isNotNull()), F.lit(0.0), lambda a, r: a + r[f])
-    scored = F.exists(apart, lambda r: r["score_final"].isNotNull())
-    d = F.when(total("score_d") > 0, F.round(total("score_d"), 3))
+def _with_all_around(rows: DataFrame) -> DataFrame:
+    """``rows`` whose results have, where no all-around is among them, its sums, and the sum of
+    D for an all-around without D. Column by column, so that nothing is computed anew
+    where it is used twice."""
+    apart = F.filter("results", lambda r: ~r["apparatus"].isin(config.ALL_AROUND, "Team"))
+    total = lambda f: F.aggregate(F.filter("apart", lambda r: r[f].isNotNull()), F.lit(0.0), lambda a, r: a + r[f])
+    x = rows.withColumn("apart", apart).withColumns({"sum_score": F.round(total("score_final"), 3), "sum_d": F.round(total("score_d"), 3), "scored": F.exists("apart", lambda r: r["score_final"].isNotNull()), "there": F.exists("results", lambda r: r["apparatus"] == config.ALL_AROUND)})
+    d = F.when(F.col("sum_d") > 0, F.col("sum_d"))
     no = lambda kind: F.lit(None).cast(kind)
     made = F.struct(
-        F.lit(config.ALL_AROUND).alias("apparatus"), F.round(total("score_final"), 3).alias("score_final"), no("string").alias("score_text"), d.alias("score_d"), no("string").alias("d_text"),
+        F.lit(config.ALL_AROUND).alias("apparatus"), F.col("sum_score").alias("score_final"), no("string").alias("score_text"), d.alias("score_d"), no("string").alias("d_text"),
         no("double").alias("score_sv"), no("double").alias("score_e"), no("double").alias("bonus"), no("double").alias("penalty"), no("string").alias("rank_text"), F.lit(True).alias("calculated"),
     )
-    there = F.exists(results, lambda r: r["apparatus"] == config.ALL_AROUND)
-    filled = F.transform(results, lambda r: r.withField("score_d", F.when(r["apparatus"] == config.ALL_AROUND, F.coalesce(r["score_d"], d)).otherwise(r["score_d"])))
-    return F.when(there, filled).when(scored, F.concat(results, F.array(made))).otherwise(results)
+    filled = F.transform("results", lambda r: F.when(r["apparatus"] == config.ALL_AROUND, r.withField("score_d", F.coalesce(r["score_d"], d))).otherwise(r))
+    out = F.when(F.col("there"), filled).when(F.col("scored"), F.concat("results", F.array(made))).otherwise(F.col("results"))
+    return x.withColumn("results", out).drop("apart", "sum_score", "sum_d", "scored", "there")
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
-    each = rows.withColumn("r", F.explode("results")).select("*", "r.*").drop("r", "results", "fields")
+    each = rows.select(*[c for c in rows.columns if c not in ("results", "fields")], F.inline("results"))
     have = set(each.columns)
     return each.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FACT])
 
@@ -187,9 +188,9 @@ def livemeet(text: DataFrame, aliases: dict[str, str]) -> DataFrame:
     rows = _of_file(rows, named=field(f, "meet"))
     out = rows.select(
         "file", "row", file_id(F.col("file"), "_FINAL_", "_PEREVENT_", "_BYEVENT_").alias("source_meet_id"), F.col("named").alias("meet_name"), F.lit(None).cast("string").alias("meet_year"), field(f, "name").alias("athlete_name"), field(f, "club").alias("club"),
-        most_indicators(F.transform(f, lambda x: x["header"])).alias("gender"), _service(f, ("name", "club"), aliases).alias("meta"), _with_all_around(_settled_results(f, False)).alias("results"),
+        most_indicators(F.transform(f, lambda x: x["header"])).alias("gender"), _service(f, ("name", "club"), aliases).alias("meta"), _settled_results(f, False).alias("results"),
     )
-    return _exploded(_facts(out, "livemeet"))
+    return _exploded(_with_all_around(_facts(out, "livemeet")))
 
 
 def mso(text: DataFrame, aliases: dict[str, str]) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from ..operators.badrows import with_cells
+from ..operators.reshape import header_row, two_row_headers, without_index
 from ..runtime import materialize
 
 
@@ -125,6 +129,45 @@ def report_gaps(text: DataFrame) -> DataFrame:
     return ghosts.unionByName(gaps).filter("meet_name != ''").distinct()
 
 
+@pandas_udf(T.StructType([T.StructField("at", T.LongType()), T.StructField("data", T.LongType()), T.StructField("header", T.ArrayType(T.StringType()))]))
+def _messy_header(leading: pd.Series) -> pd.Series:
+    """Where the header of some leading rows stands, the first row of data, and the header:
+    two rows made one where the second names parts of results."""
+    out = []
+    for rows in leading:
+        ordered = sorted(rows, key=lambda r: r["line_no"])
+        cells = [[c or "" for c in r["cells"]] for r in ordered]
+        at = header_row(cells)
+        at = 0 if at < 0 else at
+        two = at + 1 < len(cells) and any(c.strip() in ("D", "Score", "Rnk") for c in cells[at + 1])
+        header = two_row_headers(cells[at], cells[at + 1]) if two else two_row_headers(cells[at], [])
+        keep = set(without_index(cells[at]))
+        last = ordered[at + 1 if two else at]["line_no"]
+        out.append((ordered[at]["line_no"], last, [h if i in keep else "" for i, h in enumerate(header)]))
+    return pd.DataFrame(out, columns=["at", "data", "header"])
+
+
+def messy_records(text: DataFrame, within: int = 10) -> DataFrame:
+    """(file, row, fields) of lines whose header is one or two of the leading rows: found by a
+    cell that says name, athlete, gymnast or competitor; two rows are merged where the
+    second names D, Score or Rnk; an index column is dropped. What stands above the
+    header is no data. At most ``within`` lines a file are looked at for the header."""
+    rows = with_cells(text.select("file", "line_no", "line"), "line").select("file", "line_no", "cells")
+    lead = rows.filter(F.col("line_no") <= within).groupBy("file").agg(F.collect_list(F.struct("line_no", "cells")).alias("lead"))
+    head = lead.select("file", _messy_header("lead").alias("h"))
+    body = rows.join(head, "file").filter("line_no > h.data")
+    value = lambda i: F.nullif(F.trim(F.try_element_at("cells", i)), F.lit(""))
+    pairs = F.filter(F.transform(F.col("h.header"), lambda h, i: F.struct(i.alias("pos"), h.alias("header"), value(i + 1).alias("value"))), lambda x: x["header"] != "")
+    return body.select("file", F.col("line_no").alias("row"), pairs.alias("fields"))
+
+
+def renamed_fields(rows: DataFrame, names: dict[str, str], mark: str, final: str) -> DataFrame:
+    """``rows`` (file, row, fields) with headers renamed and the mark in the file's name replaced."""
+    new = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    fields = F.transform("fields", lambda x: x.withField("header", F.coalesce(F.try_element_at(new, x["header"]), x["header"])))
+    return rows.select(F.replace("file", F.lit(mark), F.lit(final)).alias("file"), "row", fields.alias("fields"))
+
+
 def targets(spark: SparkSession, path: str) -> DataFrame:
     """(name): the distinct lines of a text file, trimmed, blanks left out."""
     return spark.read.text(path).select(F.trim("value").alias("name")).filter("name != ''").distinct()
@@ -170,9 +213,10 @@ def every_nth(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     return local.join(F.broadcast(before), "__p").filter((F.col("__b") + F.col("__r") - 1) % n == 0).drop("__p", "__i", "__r", "__b")
 
 
-def status(spark: SparkSession, path: str) -> DataFrame:
-    """(source, meet_id, status, fail_count) of a status file whose values are texts or objects."""
-    raw = spark.read.text(path, wholetext=True)
+def status(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
+    """(source, meet_id, status, fail_count) of a status file whose values are texts or objects:
+    one JSON object (``wholetext``), or one a line."""
+    raw = spark.read.text(path, wholetext=wholetext)
     e = raw.select(F.explode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("e"))
     v = F.col("e.value")
     key = F.split(F.col("e.key"), "_", 2)
