@@ -150,7 +150,8 @@ def _with_all_around(rows: DataFrame) -> DataFrame:
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
-    each = rows.select(*[c for c in rows.columns if c not in ("results", "fields")], F.inline("results"))
+    # the outer form, as else a filter on the size of results would compute them once more, many times over
+    each = rows.select(*[c for c in rows.columns if c not in ("results", "fields")], F.inline_outer("results")).filter("apparatus is not null")
     have = set(each.columns)
     return each.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FACT])
 
