@@ -29,6 +29,7 @@ STATES = ("AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID"
 PROVINCES = ("AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT", "ALBERTA", "BRITISH COLUMBIA", "MANITOBA", "NEW BRUNSWICK", "NEWFOUNDLAND", "NOVA SCOTIA", "ONTARIO", "PRINCE EDWARD ISLAND", "QUEBEC", "SASKATCHEWAN")
 PROVINCES_IN_TEXT = ("ONTARIO", "QUEBEC", "ALBERTA", "BRITISH COLUMBIA", "MANITOBA", "SASKATCHEWAN", "NOVA SCOTIA", "NEW BRUNSWICK")
 CLUB_STOP_WORDS = ("gymnastics", "club", "gym", "academy", "centre", "center")
+CLUB_BODY_WORDS = ("Gymnastics", "Club", "Association", "Society", "Secondary", "School", "Elem", "High", "District", "Mag", "Wag", "Competitive", "Team", "Secondary School")
 DATE_FORMATS = ("MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "d/M/yyyy")
 MSO_HEADERS = {"VT": "Vault", "VAULT": "Vault", "UB": "Uneven Bars", "BARS": "Uneven Bars", "BB": "Beam", "BEAM": "Beam", "FX": "Floor", "FLR": "Floor", "FLOOR": "Floor", "AA": "All Around", "PH": "Pommel Horse", "POMML": "Pommel Horse", "SR": "Rings", "PB": "Parallel Bars", "PBARS": "Parallel Bars", "HB": "High Bar", "HIBAR": "High Bar"}
 #: Headers that name an apparatus only men or only women have.

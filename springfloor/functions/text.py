@@ -83,6 +83,17 @@ def club_core(x: Column) -> Column:
     return clean_text(F.regexp_replace(F.lower(x), r"\b(" + "|".join(config.CLUB_STOP_WORDS) + r")\b", ""))
 
 
+def club_body(x: Column) -> Column:
+    """A club's name without the words that say what kind of body it is."""
+    return clean_text(F.regexp_replace(x, r"(?i)\b(" + "|".join(config.CLUB_BODY_WORDS) + r")\b", ""))
+
+
+def group_level(level: Column, group: Column) -> Column:
+    """The level, or where it is blank the first that the group's text names; else empty."""
+    named = F.regexp_extract(group, r"(?i)(Level\s*\d+|CCP\s*\d+|P\d+|CPP\s*\d+|Provincial\s*\d+|Junior\s*[A-Z]|Senior\s*[A-Z]|Xcel\s*[a-zA-Z]+)", 1)
+    return F.coalesce(blank_to_null(level), named, F.lit(""))
+
+
 def normal_level(x: Column) -> Column:
     """Small letters, trimmed; empty for null, nan, none."""
     y = F.lower(F.trim(x))

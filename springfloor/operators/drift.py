@@ -69,6 +69,13 @@ def field_values(rows: DataFrame, file: str, payload: str, extra: tuple[str, ...
     return out
 
 
+def field_texts(rows: DataFrame, file: str, payload: str) -> DataFrame:
+    """(file, field, json) of each non-null top-level value of the JSON objects, as JSON text."""
+    base = rows.select(col(file).alias("file"), F.try_parse_json(col(payload)).alias("v")).filter("v is not null")
+    v = base.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer())).filter("key is not null and not is_variant_null(value)")
+    return v.select("file", F.col("key").alias("field"), F.to_json("value").alias("json"))
+
+
 def file_schemas(rows: DataFrame, file: str, payload: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """(file, field, type, n, shapes, lo, hi): one row per file and field.
 

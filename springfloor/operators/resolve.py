@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import year_of
-from ..runtime import broadcast_if_small
+from ..runtime import broadcast_if_small, materialize
+from .order import numbered
 
 
 def through_aliases(rows: DataFrame, column: str, aliases: DataFrame, any_case: bool = False) -> DataFrame:
@@ -89,3 +90,75 @@ def upgraded(rows: DataFrame, keys: list[str], order: list[Column], bag: str) ->
 def overlaid(rows: DataFrame, manual: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` without those of the manual keys, and the manual rows."""
     return rows.join(broadcast_if_small(manual.select(*keys).distinct()), keys, "left_anti").unionByName(manual, allowMissingColumns=True)
+
+
+def resolved_names(names: DataFrame, known: DataFrame, aliases: DataFrame, typed: DataFrame | None = None) -> DataFrame:
+    """(name, id, created): an id for each distinct name.
+
+    A name goes through the typed aliases (alias, canonical, pos), then the alias table
+    (alias, id), then the known ones (id, name); what is left is created, numbered from the
+    highest id on in the order of the names. Nulls and blanks are no names.
+    """
+    asked = names.select(F.col("name")).filter(F.trim("name") != "").distinct().withColumn("__key", F.col("name"))
+    if typed is not None:
+        asked = through_aliases(asked, "__key", typed)
+    a = aliases.groupBy(F.col("alias").alias("__key")).agg(F.min("id").alias("__a"))
+    k = known.groupBy(F.col("name").alias("__key")).agg(F.min("id").alias("__k"))
+    found = materialize(asked.join(broadcast_if_small(a), "__key", "left").join(broadcast_if_small(k), "__key", "left").select("name", "__key", F.coalesce("__a", "__k").alias("id")))
+    top = known.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    new = numbered(found.filter("id is null").select("__key").distinct(), ["__key"], "__n").select("__key", (F.col("__n") + 1 + top).alias("__new"))
+    return found.join(broadcast_if_small(new), "__key", "left").select("name", F.coalesce("id", "__new").alias("id"), F.col("id").isNull().alias("created"))
+
+
+def resolved_meets(known: DataFrame, incoming: DataFrame, iso: Column, land: Column) -> DataFrame:
+    """(source, source_meet_id, meet_db_id, created, name, comp_year, start_date_iso, location, country):
+    each incoming meet with the row it belongs to, healed.
+
+    It is the one of its source and id, else the first of its name (but for case and blanks)
+    and year, among the known ones and then among the new ones themselves. What the row
+    lacks comes from the first incoming meet that is it; placeholders give way to names.
+    A year is read from the date, then from the name. ``iso`` and ``land`` are the date
+    and country of an incoming meet as expressions over its columns.
+    """
+    cols = ["name", "comp_year", "start_date_iso", "location", "country"]
+    year = F.coalesce("comp_year", year_of(F.col("start_date_iso")), year_of(F.col("name")))
+    new = incoming.withColumns({"comp_year": year, "start_date_iso": iso, "country": F.coalesce("country", land)}).select("source", "source_meet_id", *cols)
+    new = new.groupBy("source", "source_meet_id").agg(F.min(F.struct(*cols)).alias("x")).select("source", "source_meet_id", "x.*")
+    by_id = known.groupBy("source", "source_meet_id").agg(F.min("meet_db_id").alias("__own"))
+    named = lambda df: df.filter(F.col("name").isNotNull() & ~F.col("name").contains("Unnamed:") & F.col("comp_year").isNotNull())
+    label = F.lower(F.trim("name")).alias("__label")
+    by_name = named(known).groupBy(label, "comp_year").agg(F.min("meet_db_id").alias("__same"))
+    keyed = new.withColumn("__label", F.when(F.col("name").isNotNull() & ~F.col("name").contains("Unnamed:"), F.lower(F.trim("name"))))
+    found = materialize(keyed.join(by_id, ["source", "source_meet_id"], "left").join(by_name, ["__label", "comp_year"], "left").withColumn("__id", F.coalesce("__own", "__same")))
+    # new meets of one name and year are one
+    groups = F.coalesce(F.concat("__label", F.lit("\x1f"), F.col("comp_year").cast("string")), F.concat(F.lit("\x1f"), "source", F.lit("\x1f"), "source_meet_id"))
+    fresh_ones = found.filter("__id is null").withColumn("__group", groups)
+    firsts = fresh_ones.groupBy("__group").agg(F.min(F.struct("source", "source_meet_id")).alias("__at"))
+    top = known.agg(F.coalesce(F.max("meet_db_id"), F.lit(0))).first()[0]
+    ids = numbered(firsts, ["__at"], "__n").select("__group", (F.col("__n") + 1 + top).alias("__new"))
+    placed = materialize(found.withColumn("__group", F.when(F.col("__id").isNull(), groups)).join(ids, "__group", "left").withColumn("meet_db_id", F.coalesce("__id", "__new")))
+    order = F.struct("source", "source_meet_id")
+    offers = placed.groupBy("meet_db_id").agg(*[F.min_by(c, F.when(F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "") & (F.lit(c != "location") | (F.col(c).cast("string") != "N/A")), order)).alias(f"__{c}") for c in cols])
+    own = known.select("meet_db_id", *[F.col(c).alias(f"__k_{c}") for c in cols])
+    bare = F.col("__k_name").isNull() | reduce(lambda p, q: p | q, [F.col("__k_name").contains(w) for w in ("Kscore", "Livemeet", "MSO", "Unnamed:", "Title not set")])
+    out = placed.select("source", "source_meet_id", "meet_db_id", F.col("__id").isNull().alias("created")).join(offers, "meet_db_id").join(own, "meet_db_id", "left")
+    better = F.when(~F.col("__name").contains("Unnamed:"), F.col("__name"))
+    healed_cols = [F.when(F.coalesce(bare, F.lit(True)), F.coalesce(better, "__k_name")).otherwise(F.col("__k_name")).alias("name"), *[F.coalesce(F.nullif(F.col(f"__k_{c}"), F.lit("")) if c != "comp_year" else F.col("__k_comp_year"), f"__{c}").alias(c) for c in cols[1:]]]
+    return out.select("source", "source_meet_id", "meet_db_id", "created", *healed_cols)
+
+
+def merged_links(links: DataFrame, mapping: DataFrame, one: str, other: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """(links, moved): links (key, one, other) whose ``one`` follows mapping (one, canonical).
+
+    Where the canonical one has a link to the same ``other`` (null being one), the alias's
+    link goes and ``moved`` (key, target) tells where its facts belong; else it is
+    repointed. The canonical one's own link is kept first, then the least key.
+    """
+    m = mapping.filter(F.col(one) != F.col("canonical")).select(F.col(one).alias("__k"), F.col("canonical").alias("__c"))
+    at = links.join(broadcast_if_small(m), F.col(one) == F.col("__k"), "left").select(key, F.coalesce("__c", one).alias(one), other, F.col("__c").isNotNull().cast("int").alias("__alias"))
+    target = at.groupBy(one, other).agg(F.min_by(key, F.struct("__alias", key)).alias("target"))
+    same = (F.col(f"a.{one}").eqNullSafe(F.col(f"t.{one}"))) & F.col(f"a.{other}").eqNullSafe(F.col(f"t.{other}"))
+    # only links of aliases go; repeated links of others stay as they were
+    both = at.alias("a").join(target.alias("t"), same).select(F.col(f"a.{key}").alias(key), F.col(f"a.{one}").alias(one), F.col(f"a.{other}").alias(other), "__alias", "target")
+    goes = (F.col("__alias") == 1) & (F.col(key) != F.col("target"))
+    return both.filter(~goes).select(key, one, other), both.filter(goes).select(key, "target")

@@ -103,16 +103,17 @@ def similar_rows_kept(rows: DataFrame, key: str, scores: list[str], total: str,
     return rows.filter(folds).join(keys, key, "left_semi").unionByName(rows.filter(~folds))
 
 
-def fullest_kept(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Of rows equal in ``keys`` the one with the most filled columns, then the least ``order``."""
-    full = F.size(F.filter(F.array(*[F.col(c).cast("string") for c in rows.columns]), lambda x: x.isNotNull()))
+def fullest_kept(rows: DataFrame, keys: list[str], order: str, counted: list[str] | None = None) -> DataFrame:
+    """Of rows equal in ``keys`` the one with the most filled columns (of ``counted``, else of
+    all), then the least ``order``."""
+    full = F.size(F.filter(F.array(*[F.col(c).cast("string") for c in counted or rows.columns]), lambda x: x.isNotNull()))
     w = W.partitionBy(*keys).orderBy(full.desc(), order)
     return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 
-def first_kept(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Of rows equal in ``keys`` (nulls being equal) the first by ``order``."""
-    return rows.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
+def first_kept(rows: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
+    """Of rows equal in ``keys`` (nulls being equal) the first ``n`` by ``order``."""
+    return rows.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("__n") <= n).drop("__n")
 
 
 def peers(rows: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:

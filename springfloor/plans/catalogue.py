@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import dates, text
-from ..operators import reshape, resolve, sinks, star
+from ..operators import order, reshape, resolve, sinks, star
 from ..runtime import broadcast_if_small, file_system, scratch, table
 from ..streaming import intake
 
@@ -326,9 +326,7 @@ def date_window(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select result_id from results_v2 qualify (row_number() over (order by result_id) - 1) % 10 = 0")
 def every_tenth(spark: SparkSession, d: str) -> DataFrame:
-    from ..sources.files import every_nth
-
-    return every_nth(table(spark, d, "results_v2").select("result_id"), ["result_id"], 10)
+    return order.every_nth(table(spark, d, "results_v2").select("result_id"), ["result_id"], 10)
 
 
 @query("""select 'INSERT INTO "customer" ("c_custkey", "c_name", "c_mktsegment") VALUES (' || c_custkey || ', ''' || replace(c_name, '''', '''''') || ''', ''' || c_mktsegment || ''') ON CONFLICT DO NOTHING;' as statement from customer""")

@@ -11,7 +11,6 @@ from pyspark.sql.functions import pandas_udf
 
 from ..operators.badrows import with_cells
 from ..operators.reshape import header_row, two_row_headers, without_index
-from ..runtime import materialize
 
 
 def lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -199,20 +198,6 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return b.select(F.col("path").alias("file"), F.md5("content").alias("file_hash"), "length")
 
 
-def every_nth(rows: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Every nth row in the given order, the first included.
-
-    Rows are sorted once across partitions and written with their partition and place, so
-    that counts and rows are of the same ranges; places are then ranked within each
-    range and the counts of the ranges before it are added.
-    """
-    ordered = materialize(rows.orderBy(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()))
-    local = ordered.withColumn("__r", F.row_number().over(W.partitionBy("__p").orderBy("__i")))
-    counts = ordered.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = counts.select("__p", (F.sum("__n").over(W.orderBy("__p")) - F.col("__n")).alias("__b"))  # a row per partition
-    return local.join(F.broadcast(before), "__p").filter((F.col("__b") + F.col("__r") - 1) % n == 0).drop("__p", "__i", "__r", "__b")
-
-
 def status(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
     """(source, meet_id, status, fail_count) of a status file whose values are texts or objects:
     one JSON object (``wholetext``), or one a line."""

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from springfloor.operators import reshape, resolve, sinks, star
+from springfloor.operators import order, reshape, resolve, sinks, star
 from springfloor.plans import catalogue
 from springfloor.sources import files, html
 from springfloor.streaming import intake
@@ -170,8 +170,13 @@ def test_sinks(spark, tmp_path):
     sinks.replace_table(df, p)
     sinks.append_new(spark.createDataFrame([(2, "x"), (3, "c"), (3, "c")], "k int, v string"), p, ["k"])
     assert sorted((r.k, r.v) for r in spark.read.parquet(p).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    u = str(tmp_path / "u")
+    sinks.replace_table(spark.range(5), u)
     with pytest.raises(ValueError):
-        sinks.swap_table(df, str(tmp_path / "u"), 3)
+        sinks.swap_table(spark.range(2), u, 3)
+    assert spark.read.parquet(u).count() == 5
+    sinks.swap_table(spark.range(2), u, 2)
+    assert spark.read.parquet(u).count() == 2 and sorted(x.name for x in tmp_path.iterdir()) == ["t", "u"]
     t = dt.datetime(2024, 1, 1)
     old = spark.createDataFrame([("f", "h1", t), ("g", "h2", t)], "file_path string, file_hash string, last_processed timestamp")
     new = spark.createDataFrame([("f", "h3", t + dt.timedelta(1))], old.schema)
@@ -194,8 +199,13 @@ def test_stream_restarts_where_it_ended(spark, tmp_path):
 
 
 def test_every_nth(spark):
-    df = spark.range(103).repartition(5)
-    assert sorted(r.id for r in files.every_nth(df, ["id"], 10).collect()) == list(range(0, 103, 10))
+    df = spark.range(103).repartition(8).selectExpr("id", "cast(id as string) as payload", "103 - id as other")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        got = sorted((r.id, r.payload, r.other) for r in order.every_nth(df, ["id"], 10).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    assert got == [(i, str(i), 103 - i) for i in range(0, 103, 10)]
 
 
 def test_catalogue_has_twins():
