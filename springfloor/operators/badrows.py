@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import broadcast_if_small, col
+from ..runtime import col, small_table
 
 #: What the kinds of rule accept, blanks at both ends taken off.
 PATTERNS = {
@@ -67,16 +67,18 @@ def row_errors(parsed: DataFrame, key: str, layout: Layout = RESULT_LINES) -> Da
     reasons is a sorted array: ``quoting`` or ``cells:<n>`` for the line as a whole
     (n is -1 for a null line), else ``<column>:<rule>`` for each failed cell.
     """
-    spark, n = parsed.sparkSession, len(layout.columns)
-    body = parsed.filter(~F.col("header"))
+    n = len(layout.columns)
     structural = F.when(F.col("cells").isNull(), F.lit("cells:-1")).when(~F.col("quoted_well"), F.lit("quoting")).when(F.size("cells") != n, F.concat(F.lit("cells:"), F.size("cells").cast("string")))
-    broken = body.select(key, structural.alias("reason")).filter("reason is not null")
-    rules = spark.createDataFrame([(layout.columns.index(c), c, kind) for c, kind in layout.rules.items()], "pos int, rule_column string, rule string")
-    cells = body.filter(structural.isNull()).select(key, F.posexplode("cells").alias("pos", "value"))
+    # one row per rule: place -1 stands for the line as a whole, whose value is its fault
+    rules = F.broadcast(small_table(parsed.sparkSession, [(-1, None, None), *[(layout.columns.index(c), c, kind) for c, kind in layout.rules.items()]], "pos int, rule_column string, rule string"))
+    item = lambda pos, value: F.struct(pos.cast("int").alias("pos"), value.alias("value"))
+    items = F.when(structural.isNotNull(), F.array(item(F.lit(-1), structural))).otherwise(F.transform("cells", lambda c, i: item(i, c)))
+    cells = parsed.filter(~F.col("header")).select(key, F.explode(items).alias("c")).select(key, "c.pos", "c.value")
     value = F.regexp_replace("value", r"^[ \t]+|[ \t]+$", "")
-    passed = F.coalesce(*[F.when(F.col("rule") == kind, value.rlike(p)) for kind, p in PATTERNS.items()])
-    failed = cells.join(broadcast_if_small(rules), "pos").filter(~passed).select(key, F.concat_ws(":", "rule_column", "rule").alias("reason"))
-    return broken.unionByName(failed).groupBy(key).agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
+    passed = F.coalesce(*[F.when(F.col("rule") == kind, value.rlike(p)) for kind, p in PATTERNS.items()], F.lit(False))
+    reason = F.coalesce(F.concat_ws(":", F.col("rule_column"), F.when(F.col("rule_column").isNotNull(), F.col("rule"))), F.lit(""))
+    failed = cells.join(rules, "pos").filter(~passed).select(key, F.when(F.col("pos") < 0, F.col("value")).otherwise(reason).alias("reason"))
+    return failed.groupBy(key).agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
 
 
 def valid_rows(parsed: DataFrame, errors: DataFrame, key: str, layout: Layout = RESULT_LINES) -> DataFrame:

@@ -9,6 +9,8 @@ over a feed, so a feed may hold any share of the files.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,16 +59,20 @@ def field_values(rows: DataFrame, file: str, payload: str, extra: tuple[str, ...
     """(file, field, bit, text, structure) of each non-null value: the top-level keys of
     the JSON object ``payload``, and the string columns ``extra``, whose values count
     as integers if all digits. Unreadable JSON gives nothing."""
-    spark = rows.sparkSession
-    base = rows.select(col(file).alias("file"), F.try_parse_json(col(payload)).alias("v"))
-    v = base.filter("v is not null").lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).filter("key is not null")
-    v = v.select("file", F.col("key").alias("field"), F.schema_of_variant("value").alias("structure"), F.expr("try_variant_get(value, '$', 'string')").alias("text"))
-    out = v.select("file", "field", _json_type(F.col("structure")).alias("bit"), "text", "structure").filter("bit is not null")
-    for c in extra:
-        x = col(c).cast("string")
-        whole = F.when(x.rlike("^[0-9]+$"), TYPES["integer"]).otherwise(TYPES["string"])
-        out = out.unionByName(rows.filter(x.isNotNull()).select(col(file).alias("file"), F.lit(c).alias("field"), whole.alias("bit"), x.alias("text"), F.lit("").alias("structure")))
-    return out
+    tvf = rows.sparkSession.tvf
+    none = F.lit(None)
+    item = lambda v, name, text: F.struct(v.alias("v"), name.cast("string").alias("name"), text.cast("string").alias("extra"))
+    # the payload and the extra columns come from one generator, so the table is read once
+    items = F.array(item(F.try_parse_json(col(payload)), none, none), *[item(F.try_parse_json(none.cast("string")), F.lit(c), col(c)) for c in extra])
+    each = rows.select(col(file).alias("file"), F.inline(items)).filter("v is not null or extra is not null")
+    v = each.lateralJoin(tvf.variant_explode_outer(F.col("v").outer())).filter("key is not null or extra is not null")
+    structure = F.schema_of_variant("value")
+    whole = F.when(F.col("extra").rlike("^[0-9]+$"), TYPES["integer"]).otherwise(TYPES["string"])
+    out = v.select(
+        "file", F.coalesce("name", "key").alias("field"), F.when(F.col("name").isNotNull(), whole).otherwise(_json_type(structure)).alias("bit"),
+        F.coalesce("extra", F.expr("try_variant_get(value, '$', 'string')")).alias("text"), F.when(F.col("name").isNotNull(), "").otherwise(structure).alias("structure"),
+    )
+    return out.filter("bit is not null")
 
 
 def field_texts(rows: DataFrame, file: str, payload: str) -> DataFrame:
@@ -102,25 +108,63 @@ def union_schema(schemas: DataFrame) -> list[tuple[str, str]]:
     return [(r.field, r.type) for r in g.orderBy("field").collect()]
 
 
-def unified(rows: DataFrame, payload: str, schema: list[tuple[str, str]], keep: tuple[str, ...], prefix: str = "f_") -> DataFrame:
-    """All rows with the columns ``keep`` and one column per JSON field of the union schema,
-    cast to its type (null where absent, null or in unreadable JSON).
+def rename_groups(schemas: DataFrame, changes: DataFrame, extra: tuple[str, ...] = ()) -> dict[str, str]:
+    """Each field of the files to the one name it has in the unified table.
 
+    The change log says which fields were renamed; such fields are one, the most frequent
+    rename first, unless some file has both (or fields that are already one with
+    them), as then a value would be lost. A group has the name of its column in
+    ``extra``, else of the field that most files have. What is collected is bounded by
+    the number of different field names, squared.
+    """
+    renames = changes.filter("change_kind = 'renamed'").groupBy("field_before", "field_after").agg(F.count(F.lit(1)).alias("n")).collect()
+    a, b = schemas.select("file", F.col("field").alias("a")), schemas.select("file", F.col("field").alias("b"))
+    together = {frozenset((r.a, r.b)) for r in a.join(b, "file").filter("a < b").select("a", "b").distinct().collect()}
+    files = {r.field: r.n for r in schemas.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
+    group = {f: {f} for f in files}
+    for r in sorted(renames, key=lambda r: (-r.n, r.field_before, r.field_after)):
+        p, q = group.get(r.field_before), group.get(r.field_after)
+        if p is not None and q is not None and p is not q and not any(frozenset((x, y)) in together for x in p for y in q):
+            p |= q
+            for f in q:
+                group[f] = p
+    return {f: min(g, key=lambda x: (x not in extra, -files[x], x)) for f, g in group.items()}
+
+
+def unified(rows: DataFrame, payload: str, schema: list[tuple[str, str]], keep: tuple[str, ...], prefix: str = "f_", names: dict[str, str] | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """All rows with the columns ``keep``, one column per field of the union schema, cast to its
+    type (null where absent, null or in unreadable JSON), and ``casts_lost``.
+
+    With ``names`` (rename_groups), fields that are one come in one column: a column of
+    ``extra`` first, then the fields by name; schema then has the names of the groups.
     Objects, arrays and mixed fields come as JSON text. Names that differ in case
-    only, or clash with kept columns, get a running number.
+    only, or clash with kept columns, get a running number. casts_lost counts the
+    fields of the row whose value could not be cast to the column's type.
     """
     sql = {"integer": "bigint", "number": "double", "boolean": "boolean"}
-    taken, out = {c.lower() for c in keep}, []
+    taken, out, lost = {c.lower() for c in keep}, [], []
     v = F.try_parse_json(col(payload))
-    for field, kind in schema:
-        name, k = prefix + field, 1
+    members: dict[str, list[str]] = {}
+    for f, g in sorted((names or {f: f for f, _ in schema}).items()):
+        members.setdefault(g, []).append(f)
+    texts, plan = [], []
+    for i, (field, kind) in enumerate(schema):
+        name, k = field if field in extra else prefix + field, 1
         while name.lower() in taken:
             k += 1
             name = f"{prefix}{field}_{k}"
         taken.add(name.lower())
-        path = "$['" + field.replace("\\", "\\\\").replace("'", "\\'") + "']"
-        out.append(F.try_variant_get(F.col("__v"), path, sql.get(kind, "string")).alias(name))
-    return rows.select(*[col(c).alias(c) for c in keep], v.alias("__v")).select(*keep, *out)
+        own = [col(c).cast("string") for c in members[field] if c in extra]
+        paths = ["$['" + f.replace("\\", "\\\\").replace("'", "\\'") + "']" for f in members[field] if f not in extra]
+        texts.append(F.coalesce(*own, *[F.try_variant_get(F.col("__v"), p, "string") for p in paths]).alias(f"__t{i}"))
+        plan.append((name, sql.get(kind)))
+    read = rows.withColumn("__v", v).select(*[col(c).alias(c) for c in keep], *texts)
+    for i, (name, kind) in enumerate(plan):
+        text = F.col(f"__t{i}")
+        out.append((text.try_cast(kind) if kind else text).alias(name))
+        if kind:
+            lost.append((text.isNotNull() & text.try_cast(kind).isNull()).cast("int"))
+    return read.select(*[col(c) for c in keep], *out, reduce(lambda p, q: p + q, lost, F.lit(0)).alias("casts_lost"))
 
 
 def _alike(a: str, b: str) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import broadcast_if_small
+from ..runtime import broadcast_if_small, small_table
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
@@ -82,7 +82,7 @@ def open_meets(manifest: DataFrame, status: DataFrame, closed: tuple[str, ...] =
 
 def seeded(table: DataFrame, seeds: list[tuple], key: list[str]) -> DataFrame:
     """A table with the rows it must start with; rows whose key is there already stay as they are."""
-    rows = table.sparkSession.createDataFrame(seeds, table.schema)
+    rows = small_table(table.sparkSession, seeds, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema))
     return table.unionByName(rows.join(table.select(*key), key, "left_anti").select(*table.columns))
 
 

@@ -13,10 +13,10 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import col
+from ..runtime import broadcast_if_small, col, materialize
 
 MATCHES = ("simple", "partial", "full")
 
@@ -39,35 +39,24 @@ class Reference:
     parent_time: str | None = None
 
 
-def _keys_at_fault(child: DataFrame, ref: Reference, time: str | None) -> DataFrame:
-    """One row per distinct key that has some faulty reference: key columns k0.., born
-    (null: missing). Null masks are handled apart."""
-    n = len(ref.columns)
-    if ref.match not in MATCHES or n != len(ref.parent_columns):
-        raise ValueError(f"bad reference {ref}")
-    ks = [f"k{i}" for i in range(n)]
-    late = ref.parent_time is not None and time is not None
-    keys = child.select(*[col(c).alias(k) for c, k in zip(ref.columns, ks)], *([col(time).alias("t")] if late else []))
-    keys = keys.groupBy(*ks).agg(F.min("t").alias("first_use")) if late else keys.distinct()
-    parent = ref.parent.select(
-        *[col(c).alias(f"p{i}") for i, c in enumerate(ref.parent_columns)],
-        (col(ref.parent_time) if late else F.lit(None).cast("timestamp")).alias("born"),
-    )
-    parts = []
-    for mask in product((True, False), repeat=n):
-        filled = [i for i in range(n) if mask[i]]
-        if not filled or ref.match == "simple" and len(filled) < n:
-            continue  # satisfied by definition
-        part = keys.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() if m else F.col(k).isNull() for k, m in zip(ks, mask)]))
-        if ref.match == "full" and len(filled) < n:
-            bad = part.withColumn("born", F.lit(None).cast("timestamp"))
-        else:
-            born = parent.groupBy(*[f"p{i}" for i in filled]).agg(F.min("born").alias("born"), F.lit(True).alias("there"))
-            joined = part.join(born, [F.col(ks[i]) == F.col(f"p{i}") for i in filled], "left")
-            bad = joined.filter(F.col("there").isNull() | (F.col("born") > F.col("first_use")) if late else F.col("there").isNull())
-            bad = bad.withColumn("born", F.when(F.col("there"), F.col("born")))
-        parts.append(bad.select(*ks, "born"))
-    return reduce(DataFrame.unionByName, parts)
+def _masked(key: Column) -> tuple[Column, Column]:
+    """(null mask, non-null values) of a key, an array of texts."""
+    return F.array_join(F.transform(key, lambda x: F.when(x.isNull(), "0").otherwise("1")), ""), F.filter(key, lambda x: x.isNotNull())
+
+
+def _parents(refs: list[Reference], late: bool) -> DataFrame:
+    """(ref, mask, filled, born): the distinct parent keys of each reference, for each mask of
+    columns by which they can be asked for, with the earliest time."""
+    out = []
+    for i, ref in enumerate(refs):
+        n = len(ref.columns)
+        born = col(ref.parent_time).cast("timestamp") if late and ref.parent_time else F.lit(None).cast("timestamp")
+        for mask in product("10", repeat=n):
+            if "1" not in mask or ref.match != "partial" and "0" in mask:
+                continue
+            values = F.array(*[col(c).cast("string") for c, m in zip(ref.parent_columns, mask) if m == "1"])
+            out.append(ref.parent.select(F.lit(i).alias("ref"), F.lit("".join(mask)).alias("mask"), values.alias("filled"), born.alias("born")))
+    return reduce(DataFrame.unionByName, out).groupBy("ref", "mask", "filled").agg(F.min("born").alias("born"), F.lit(True).alias("there"))
 
 
 def orphan_references(child: DataFrame, key: str, refs: list[Reference], time: str | None = None) -> DataFrame:
@@ -78,18 +67,38 @@ def orphan_references(child: DataFrame, key: str, refs: list[Reference], time: s
     repeated parents count once, by their earliest time. Empty tables: without
     parents every non-null reference is missing; without children nothing is.
     Extra columns are ignored. ref_time is the child's time (null without one).
+
+    All references come from one generator over one scan. Their distinct keys are
+    aggregated (map-side combine), met with the parents in one join, and what is at
+    fault is written; the rows then meet that, a broadcast if its size allows.
     """
-    out = []
     for ref in refs:
-        ks = [f"k{i}" for i in range(len(ref.columns))]
-        bad = _keys_at_fault(child, ref, time)
-        rows = child.select(
-            col(key).alias(key), (col(time) if time else F.lit(None).cast("timestamp")).alias("ref_time"), *[col(c).alias(f"c{i}") for i, c in enumerate(ref.columns)]
-        )
-        on = [F.col(f"c{i}") == F.col(k) if ref.match == "simple" else F.col(f"c{i}").eqNullSafe(F.col(k)) for i, k in enumerate(ks)]
-        hit = rows.join(bad, on).filter(F.col("born").isNull() | (F.col("born") > F.col("ref_time")))
-        out.append(hit.select(F.col(key), F.lit(ref.name).alias("ref_column"), F.when(F.col("born").isNull(), "missing").otherwise("late").alias("kind"), "ref_time"))
-    return reduce(DataFrame.unionByName, out)
+        if ref.match not in MATCHES or len(ref.columns) != len(ref.parent_columns):
+            raise ValueError(f"bad reference {ref}")
+    used = F.lit(None).cast("timestamp") if time is None else col(time).cast("timestamp")
+
+    def asked(ref: Reference, i: int) -> Column:
+        kinds = {f.name: f.dataType for f in ref.parent.schema}
+        values = F.array(*[col(c).try_cast(kinds[p]).cast("string") for c, p in zip(ref.columns, ref.parent_columns)])
+        late = time is not None and ref.parent_time is not None
+        return F.struct(F.lit(i).alias("ref"), values.alias("k"), (used if late else F.lit(None).cast("timestamp")).alias("used"))
+
+    each = child.select(col(key).alias("__key"), (F.lit(None).cast("timestamp") if time is None else col(time)).alias("__time"), F.explode(F.array(*[asked(r, i) for i, r in enumerate(refs)])).alias("r")).select("__key", "__time", "r.*")
+    each = each.filter(F.exists("k", lambda x: x.isNotNull()))  # nothing but nulls satisfies any match
+    keys = each.groupBy("ref", "k").agg(F.min("used").alias("first_use"))
+    mask, filled = _masked(F.col("k"))
+    keys = keys.select("ref", "k", "first_use", mask.alias("mask"), filled.alias("filled"))
+    some_null = F.col("mask").contains("0")
+    of = lambda match: F.col("ref").isin([i for i, r in enumerate(refs) if r.match == match])
+    keys = keys.filter(~(of("simple") & some_null))
+    joined = keys.join(_parents(refs, time is not None), ["ref", "mask", "filled"], "left")
+    bad = joined.filter(F.col("there").isNull() | (of("full") & some_null) | (F.col("born") > F.col("first_use")))
+    missing = F.col("there").isNull() | (of("full") & some_null)
+    bad = materialize(bad.select("ref", "k", missing.alias("missing"), "born"))
+    same = (F.col("e.ref") == F.col("b.ref")) & (F.col("e.k") == F.col("b.k")) if all(r.match == "simple" for r in refs) else (F.col("e.ref") == F.col("b.ref")) & F.col("e.k").eqNullSafe(F.col("b.k"))
+    hit = each.alias("e").join(broadcast_if_small(bad).alias("b"), same).filter(F.col("missing") | (F.col("born") > F.col("used")))
+    name = F.element_at(F.array(*[F.lit(r.name) for r in refs]), F.col("e.ref") + 1)
+    return hit.select(F.col("__key").alias(key), name.alias("ref_column"), F.when(F.col("missing"), "missing").otherwise("late").alias("kind"), F.col("__time").alias("ref_time"))
 
 
 def orphan_counts(orphans: DataFrame, parents: dict[str, str]) -> DataFrame:

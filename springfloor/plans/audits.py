@@ -29,8 +29,8 @@ def audit_ranked_zero(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_high_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Scores above twenty that are no all-around."""
-    return _facts(spark, d).filter((F.col("apparatus") != config.ALL_AROUND) & (F.col("score_final") > 20)).select("result_id", "apparatus", "score_final")
+    """Scores above 9.8 that are no all-around."""
+    return _facts(spark, d).filter((F.col("apparatus") != config.ALL_AROUND) & (F.col("score_final") > 9.8)).select("result_id", "apparatus", "score_final")
 
 
 def audit_incomplete_levels(spark: SparkSession, d: str) -> DataFrame:
@@ -65,7 +65,7 @@ def audit_ghosts(spark: SparkSession, d: str) -> DataFrame:
     return aa.join(rest, ["meet_db_id", "athlete_id"], "left_anti").select("result_id", "meet_db_id", "athlete_id")
 
 
-def audit_small_meets(spark: SparkSession, d: str, least: int = 5) -> DataFrame:
+def audit_small_meets(spark: SparkSession, d: str, least: int = 60) -> DataFrame:
     """Meets with fewer than ``least`` results, none included."""
     n = table(spark, d, "results_v2").groupBy("meet_db_id").agg(F.count(F.lit(1)).alias("n"))
     m = table(spark, d, "meets").join(n, "meet_db_id", "left").fillna(0, ["n"])
@@ -73,11 +73,11 @@ def audit_small_meets(spark: SparkSession, d: str, least: int = 5) -> DataFrame:
 
 
 def audit_blank_apparatus(spark: SparkSession, d: str) -> DataFrame:
-    """Meets of more than five rows in which some apparatus has no score at all."""
+    """Meets and levels of more than one row in which some apparatus has no score at all."""
     g = table(spark, d, "gold_results_wag")
     ps = [p for p, _ in config.GOLD_ORDER["F"] if p != "aa"]
-    out = g.groupBy("meet_name").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(F.trim(f"{p}_score"), F.lit("")) != "").alias(p) for p in ps])
-    return out.filter("n > 5 and (" + " or ".join(f"{p} = 0" for p in ps) + ")")
+    out = g.groupBy("meet_name", "level").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(F.trim(f"{p}_score"), F.lit("")) != "").alias(p) for p in ps])
+    return out.filter("n > 1 and (" + " or ".join(f"{p} = 0" for p in ps) + ")")
 
 
 def audit_unused_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -130,7 +130,7 @@ _UNUSED = ["age", "province", "score_sv", "score_e", "bonus", "execution_bonus",
 SQL = {
     "audit_missing_all_around": f"select meet_db_id, athlete_id, count(*) as events from {_FACTS} group by 1, 2 having count(*) filter (apparatus = 'All Around') = 0 and count(*) > 2",
     "audit_ranked_zero": f"select m.source, apparatus, count(*) as n from {_FACTS} join meets m using (meet_db_id) where rank_numeric < 20 and coalesce(score_final, 0) = 0 group by 1, 2",
-    "audit_high_scores": f"select result_id, apparatus, score_final from {_FACTS} where apparatus != 'All Around' and score_final > 20",
+    "audit_high_scores": f"select result_id, apparatus, score_final from {_FACTS} where apparatus != 'All Around' and score_final > 9.8",
     "audit_incomplete_levels": f"""
   with n as (select meet_db_id, level, athlete_id, count(distinct apparatus) as k from {_FACTS} where level is not null group by all),
   f as (select meet_db_id, level, k, count(*) as c from n group by all),
@@ -142,8 +142,8 @@ SQL = {
   select meet_db_id, level, missing, count(*) as n from lack where missing != '' group by all having count(*) > 2""",
     "audit_score_without_d": f"select meet_db_id, level, count(*) as n from {_FACTS} where apparatus != 'All Around' and score_final is not null and score_d is null group by 1, 2 having count(*) > 5",
     "audit_ghosts": f"select result_id, meet_db_id, athlete_id from {_FACTS} f where apparatus = 'All Around' and not exists (select 1 from {_FACTS} g where g.meet_db_id = f.meet_db_id and g.athlete_id = f.athlete_id and g.apparatus != 'All Around')",
-    "audit_small_meets": "select m.meet_db_id, m.source || '_' || m.source_meet_id as meet_key, count(r.result_id) as n from meets m left join results_v2 r using (meet_db_id) group by 1, 2 having count(r.result_id) < 5",
-    "audit_blank_apparatus": "select * from (select meet_name, count(*) as n, " + ", ".join(f"count(*) filter (coalesce(trim({p}_score), '') != '') as {p}" for p in ("vt", "ub", "bb", "fx")) + " from gold_results_wag group by 1) where n > 5 and (vt = 0 or ub = 0 or bb = 0 or fx = 0)",
+    "audit_small_meets": "select m.meet_db_id, m.source || '_' || m.source_meet_id as meet_key, count(r.result_id) as n from meets m left join results_v2 r using (meet_db_id) group by 1, 2 having count(r.result_id) < 60",
+    "audit_blank_apparatus": "select * from (select meet_name, level, count(*) as n, " + ", ".join(f"count(*) filter (coalesce(trim({p}_score), '') != '') as {p}" for p in ("vt", "ub", "bb", "fx")) + " from gold_results_wag group by 1, 2) where n > 1 and (vt = 0 or ub = 0 or bb = 0 or fx = 0)",
     "audit_unused_columns": " union all ".join(f"select '{c}' as column_name, count({c}) as filled from results_v2" for c in _UNUSED),
     "audit_text_scores": "select score_text, count(*) as n from results_v2 where score_text is not null group by 1 order by n desc, score_text limit 50",
     "audit_file_coverage": "select f.source, count(*) as files, count(n) as with_rows, sum(coalesce(n, 0))::bigint as result_rows from processed_files f left join (select source_file, count(*) as n from results_v2 group by 1) on source_file = file_path group by 1",

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import dates, text
 from ..operators import order, reshape, resolve, sinks, star
-from ..runtime import broadcast_if_small, file_system, scratch, table
-from ..streaming import intake
+from ..runtime import broadcast_if_small, small_table, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -76,10 +75,16 @@ def entity_summary(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("person_id", "club", "apparatus").agg(F.count(F.lit(1)).alias("n"), mean.alias("mean"), F.max("score_final").alias("best"), F.min("score_final").alias("worst"))
 
 
-@query("select lower(trim(name)) as key, comp_year, min(meet_db_id) as first_id, string_agg(meet_db_id::varchar, ',' order by meet_db_id) as ids, count(*) as n from meets group by 1, 2 having count(*) > 1")
+_LISTED = "(select meet_db_id, name, comp_year from meets union all select 1000000 + min(gold_id), trim(meet_name), comp_year from gold_results_wag group by trim(meet_name), comp_year)"
+
+
+@query(f"select lower(trim(name)) as key, comp_year, min(meet_db_id) as first_id, string_agg(meet_db_id::varchar, ',' order by meet_db_id) as ids, count(*) as n from {_LISTED} group by 1, 2 having count(*) > 1")
 def duplicate_meets(spark: SparkSession, d: str) -> DataFrame:
+    """Meets of one name and year among the meets and those that gold names."""
+    g = table(spark, d, "gold_results_wag").groupBy(F.trim("meet_name").alias("name"), "comp_year").agg((F.min("gold_id") + 1000000).alias("meet_db_id"))
+    listed = table(spark, d, "meets").select("meet_db_id", "name", "comp_year").unionByName(g)
     ids = F.array_join(F.transform(F.array_sort(F.collect_list("meet_db_id")), lambda x: x.cast("string")), ",")
-    return table(spark, d, "meets").groupBy(F.lower(F.trim("name")).alias("key"), "comp_year").agg(F.min("meet_db_id").alias("first_id"), ids.alias("ids"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return listed.groupBy(F.lower(F.trim("name")).alias("key"), "comp_year").agg(F.min("meet_db_id").alias("first_id"), ids.alias("ids"), F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 _UNIFY = """(with m as (select meet_db_id, case when name is null or lower(name) like '%unnamed:%' then '#' || meet_db_id else lower(trim(name)) end as n, coalesce(comp_year, try_cast(nullif(regexp_extract(name, '(20[0-9]{2})', 1), '') as int)) as y from meets)
@@ -123,15 +128,18 @@ def first_results(spark: SparkSession, d: str) -> DataFrame:
     return star.first_kept(r.select("result_id", "meet_db_id", "athlete_id", "apparatus_id", "session", "level", "loaded_at", "source_file"), ["meet_db_id", "athlete_id", "apparatus_id", "session", "level"], [F.col(c) for c in ("loaded_at", "source_file", "result_id")]).select("result_id")
 
 
-@query("with c as (select distinct meet_name, level, age from gold_results_wag where athlete_name like 'A%') select gold_id from gold_results_wag g where exists (select 1 from c where c.meet_name is not distinct from g.meet_name and c.level is not distinct from g.level and c.age is not distinct from g.age)")
+@query("with c as (select distinct meet_name, level, age from gold_results_wag where athlete_name in (select full_name from persons where dob like '2010%')) select gold_id from gold_results_wag g where exists (select 1 from c where c.meet_name is not distinct from g.meet_name and c.level is not distinct from g.level and c.age is not distinct from g.age)")
 def session_peers(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the meets, levels and ages of a roster: here the people born in 2010."""
     g = table(spark, d, "gold_results_wag")
-    return star.peers(g, g.filter(F.col("athlete_name").startswith("A")), ["meet_name", "level", "age"]).select("gold_id")
+    roster = table(spark, d, "persons").filter(F.col("dob").startswith("2010")).select(F.col("full_name").alias("athlete_name"))
+    return star.peers(g, g.join(broadcast_if_small(roster), "athlete_name", "left_semi"), ["meet_name", "level", "age"]).select("gold_id")
 
 
-@query("select meet_db_id from meets m where not exists (select 1 from results_v2 r where r.meet_db_id = m.meet_db_id)")
+@query("select meet_db_id from meets m where not exists (select 1 from results_v2 r where r.meet_db_id = m.meet_db_id and r.level = 'Gold')")
 def meets_without_results(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "meets").join(table(spark, d, "results_v2").select("meet_db_id"), "meet_db_id", "left_anti").select("meet_db_id")
+    """Meets without a result of a level."""
+    return table(spark, d, "meets").join(table(spark, d, "results_v2").filter("level = 'Gold'").select("meet_db_id"), "meet_db_id", "left_anti").select("meet_db_id")
 
 
 _ALIASES = tuple(config.LEVELS.items())
@@ -141,17 +149,10 @@ _ALIAS_SQL = "(values " + ", ".join(f"('{a}', '{c}', {i})" for i, (a, c) in enum
 @query(f"""with a as (select * from {_ALIAS_SQL}), e as (select alias, arg_min(canonical, pos) as c1 from a group by 1), l as (select lower(regexp_replace(alias, '\\s+', '', 'g')) as k, arg_min(canonical, pos) as c2 from a group by 1)
   select coalesce(c1, c2, trim(level)) as level, count(*) as n from results_v2 r left join e on e.alias = r.level left join l on l.k = lower(regexp_replace(r.level, '\\s+', '', 'g')) group by 1""")
 def alias_levels(spark: SparkSession, d: str) -> DataFrame:
-    a = spark.createDataFrame([(x, c, i) for i, (x, c) in enumerate(_ALIASES)], "alias string, canonical string, pos int")
+    a = small_table(spark, [(x, c, i) for i, (x, c) in enumerate(_ALIASES)], "alias string, canonical string, pos int")
     return resolve.through_aliases(table(spark, d, "results_v2").select("level"), "level", a, any_case=True).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select a.full_name as name, b.full_name as turned from persons a join persons b on b.full_name = array_to_string(list_reverse(string_split(a.full_name, ' ')), ' ') where a.full_name < b.full_name")
-def turned_names(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "persons").select(F.col("full_name").alias("name"))
-    q = p.select(F.col("name").alias("turned"))
-    return p.join(q, F.col("turned") == text.reversed_words(F.col("name"))).filter("name < turned")
-
-
 @query("""with w as (select club_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(name), '[^a-z]+', ' ', 'g'), ' '), lambda x: length(x) > 3 and x not in ('gymnastics', 'club', 'academy', 'centre', 'center', 'school', 'association', 'athletic', 'fitness')))) as word from clubs)
   select a.club_id as club_a, b.club_id as club_b, count(*) as common from w a join w b using (word) where a.club_id < b.club_id group by 1, 2 having count(*) >= 2""")
 def word_overlap(spark: SparkSession, d: str) -> DataFrame:
@@ -173,11 +174,19 @@ _AA = "coalesce(try_cast(trim(aa_score) as decimal(9,3)), 0)"
 _LIKE = lambda *xs: "(" + " or ".join(f"meet_name ilike '%{x}%'" for x in xs) + ")"
 
 
+_DAYS = "(select athlete_name, meet_date, level, meet_name || x.s as meet_name, (try_cast(case when regexp_full_match(trim(aa_score), '[0-9.]+') then trim(aa_score) end as decimal(9,3)) * x.f)::decimal(9,2)::varchar as aa_score from gold_results_wag, (values (' Day 1', 1.0), (' (Jour 2)', 2.0), ('', 3.0)) x(s, f))"
+
+
 @query(f"""select athlete_name, meet_date, level, d1::double as d1, d2::double as d2, combined::double as combined, abs(d1 + d2 - combined) <= 0.1 as agrees from (select athlete_name, meet_date, level,
   max(case when {_LIKE("Day 1", "Jour 1", " D1")} then {_AA} else 0 end) as d1, max(case when {_LIKE("Day 2", "Jour 2", " D2")} then {_AA} else 0 end) as d2, max(case when not {_LIKE("Day", "Jour", " D1", " D2")} then {_AA} else 0 end) as combined
-  from gold_results_wag group by 1, 2, 3) where d1 > 0 and d2 > 0 and combined > 0""")
+  from {_DAYS} group by 1, 2, 3) where d1 > 0 and d2 > 0 and combined > 0""")
 def multi_day_totals(spark: SparkSession, d: str) -> DataFrame:
-    return star.multi_day_totals(table(spark, d, "gold_results_wag"))
+    """Two days and a combined total, made of each row: one, two and three times its score."""
+    g = table(spark, d, "gold_results_wag")
+    days = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(k).cast("decimal(2,1)").alias("f")) for s, k in ((" Day 1", 1), (" (Jour 2)", 2), ("", 3))])).alias("x")
+    score = F.when(F.trim("aa_score").rlike("^[0-9.]+$"), F.trim("aa_score").try_cast("decimal(9,3)"))
+    x = g.select("athlete_name", "meet_date", "level", "meet_name", score.alias("a"), days)
+    return star.multi_day_totals(x.select("athlete_name", "meet_date", "level", F.concat("meet_name", "x.s").alias("meet_name"), (F.col("a") * F.col("x.f")).cast("decimal(9,2)").cast("string").alias("aa_score")))
 
 
 @query("select gold_id, apparatus, nullif(trim(score), '') as score, nullif(trim(d), '') as d, nullif(trim(rank), '') as rank from (" + " union all ".join(f"select gold_id, '{n}' as apparatus, {p}_score as score, {p}_d as d, {p}_rank as rank from gold_results_wag" for p, n in config.GOLD_ORDER["F"]) + ") where nullif(trim(score), '') is not null or nullif(trim(d), '') is not null")
@@ -264,20 +273,26 @@ def countries(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "meets").select("meet_db_id", text.country(F.col("location"), F.col("source"), F.col("name")).alias("country"))
 
 
-@query("select l_orderkey, l_linenumber, case l_linenumber % 3 when 0 then l_quantity::int / 1000.0 + l_linenumber when 1 then l_quantity::int + 0.5 else l_quantity::int / 1000.0 + l_linenumber end::double as score, case when l_linenumber % 3 = 2 then l_linenumber::varchar || 'T' end as rank_text from lineitem")
+_WHOLE, _LINE = "(l_quantity::int)", "l_linenumber"
+
+
+@query(f"""select l_orderkey, l_linenumber, case l_linenumber % 5 when 0 then {_WHOLE} + 0.5 when 1 then {_WHOLE} / 1000.0 + l_linenumber when 2 then {_WHOLE} / 1000.0 + l_linenumber when 3 then {_WHOLE} / 1000.0 + l_linenumber else {_WHOLE} + 0.25 end::double as score,
+  case when l_linenumber % 5 >= 2 then l_linenumber || 'T' end as rank_text, case when l_linenumber % 5 = 3 then 0.5 end::double as bonus from lineitem""")
 def mso_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of one to five words."""
     q, n = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber").cast("string")
-    cell = F.when(F.col("l_linenumber") % 3 == 0, F.concat_ws(" ", q, n)).when(F.col("l_linenumber") % 3 == 1, F.concat(q, F.lit(".5"))).otherwise(F.concat_ws(" ", F.concat(n, F.lit("T")), q, n))
+    rank = F.concat(n, F.lit("T"))
+    cell = F.element_at(F.array(F.concat(q, F.lit(".5")), F.concat_ws(" ", q, n), F.concat_ws(" ", rank, q, n), F.concat_ws(" ", rank, q, n, F.lit("0.5")), F.concat_ws(" ", rank, F.lit("a b c"), F.concat(q, F.lit(".25")))), F.col("l_linenumber") % 5 + 1)
     x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text.mso_cell(cell).alias("c"))
-    return x.select("l_orderkey", "l_linenumber", "c.score", "c.rank_text")
+    return x.select("l_orderkey", "l_linenumber", "c.score", "c.rank_text", "c.bonus")
 
 
-@query("""select result_id, array_to_string(list_filter([case when score_final < 0 then 'negative score' end, case when score_final > 16.5 and not contains(lower(a.name), 'all') then 'high score' end, case when score_d < 0 then 'negative D' end, case when score_d > 7.5 then 'high D' end], lambda x: x is not null), '; ') as warnings
-  from results_v2 join apparatus a using (apparatus_id) where score_final < 0 or score_final > 16.5 and not contains(lower(a.name), 'all') or score_d < 0 or score_d > 7.5""")
+@query("""select result_id, array_to_string(list_filter([case when score_final < 0 then 'negative score' end, case when score_final > 9.5 and not contains(lower(a.name), 'all') then 'high score' end, case when score_d < 0 then 'negative D' end, case when score_d > 5.5 then 'high D' end], lambda x: x is not null), '; ') as warnings
+  from results_v2 join apparatus a using (apparatus_id) where score_final < 0 or score_final > 9.5 and not contains(lower(a.name), 'all') or score_d < 0 or score_d > 5.5""")
 def score_warnings(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "apparatus").select("apparatus_id", F.col("name").alias("apparatus"))
     r = table(spark, d, "results_v2").join(broadcast_if_small(a), "apparatus_id")
-    return r.select("result_id", text.score_warnings(F.col("score_final"), F.col("score_d"), F.col("apparatus")).alias("warnings")).filter("warnings is not null")
+    return r.select("result_id", text.score_warnings(F.col("score_final"), F.col("score_d"), F.col("apparatus"), 9.5, 5.5).alias("warnings")).filter("warnings is not null")
 
 
 @query(f"""with g as (select meet_db_id, athlete_id, bool_or(apparatus = 'All Around') as has, sum(score_final::decimal(9,3)) filter (apparatus != 'All Around') as s, sum(score_d::decimal(9,3)) filter (apparatus != 'All Around') as d from {_STAR_SQL} group by 1, 2)
@@ -287,16 +302,31 @@ def calculated_all_around(spark: SparkSession, d: str) -> DataFrame:
     return reshape.with_all_around(rows, ["meet_db_id", "athlete_id"]).filter("calculated").select("meet_db_id", "athlete_id", "score_final", "score_d")
 
 
-@query()
+_TERM = "(case when coalesce(regexp_full_match(trim({0}), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?'), false) then trim({0})::double end)"
+_GOLD_SCORES = [f"{p}_score" for p, _ in config.GOLD_ORDER["F"]]
+_ITEM = "[" + ", ".join(f"struct_pack(t := coalesce(trim({c}), '') != '', v := {_TERM.format(c)}, s := {c})" for c in _GOLD_SCORES) + "]"
+_SAME = "(coalesce(abs(k.s[i].v - x.s[i].v) < 0.005, false) or ((k.s[i].v is null or x.s[i].v is null) and coalesce(k.s[i].s = x.s[i].s, false) and (k.s[i].t or x.s[i].t)))"
+_EQUAL = "list_sum([" + ", ".join(f"((k.s[{i}].t or x.s[{i}].t) and {_SAME.replace('[i]', f'[{i}]')})::int" for i in range(1, 6)) + "])"
+_BOTH = "list_sum([" + ", ".join(f"(k.s[{i}].t or x.s[{i}].t)::int" for i in range(1, 6)) + "])"
+
+
+@query(f"""with recursive r as (select gold_id, athlete_name as a, meet_date as d, {_ITEM} as s, {_TERM.format("aa_score")} as aa, (coalesce(lower(trim(level)), '') in ('', 'nan', 'none'))::int as l, coalesce(contains(meet_name, '(Combined)')::int, -1) as c from gold_results_wag),
+  q as (select *, len(list_filter(s, lambda z: z.t)) as n from r), f as (select *, n > 0 and coalesce(trim(a), '') != '' and coalesce(trim(d), '') != '' as folds from q),
+  o as (select a, d, struct_pack(g := gold_id, s := s, aa := aa) as x, row_number() over (partition by a, d order by n desc, l, c, gold_id) as i from f where folds),
+  w as (select a, d, i, [x] as kept from o where i = 1
+    union all select w.a, w.d, o.i, case when len(list_filter(w.kept, lambda k: coalesce(k.aa != 0 and o.x.aa != 0 and abs(k.aa - o.x.aa) < 0.005, false) or {_BOTH.replace("x.s", "o.x.s")} > 0 and ({_EQUAL.replace("x.s", "o.x.s")} >= 0.8 * {_BOTH.replace("x.s", "o.x.s")} or {_EQUAL.replace("x.s", "o.x.s")} >= 4 and {_EQUAL.replace("x.s", "o.x.s")} >= {_BOTH.replace("x.s", "o.x.s")} - 2))) > 0 then w.kept else list_append(w.kept, o.x) end
+    from w join o on o.a = w.a and o.d = w.d and o.i = w.i + 1)
+  select gold_id from f where not folds union all select unnest(list_transform(kept, lambda k: k.g)) from (select arg_max(kept, i) as kept from w group by a, d)""")
 def similar_rows(spark: SparkSession, d: str) -> DataFrame:
-    scores = [f"{p}_score" for p, _ in config.GOLD_ORDER["F"]]
-    return star.similar_rows_kept(table(spark, d, "gold_results_wag"), "gold_id", scores, "aa_score").select("gold_id")
+    return star.similar_rows_kept(table(spark, d, "gold_results_wag"), "gold_id", _GOLD_SCORES, "aa_score").select("gold_id")
 
 
-@query("select c_custkey, c_name, c_acctbal from customer where c_custkey not in (1, 2) union all select 1, 'Manual One', 1.5 union all select 2, 'Manual Two', null")
+@query("with k as (select distinct athlete_name, meet_name from gold_results_wag where level = 'Gold' and athlete_name is not null and meet_name is not null) select athlete_name, meet_name, vt_score from gold_results_wag g where not exists (select 1 from k where k.athlete_name = g.athlete_name and k.meet_name = g.meet_name) union all select athlete_name, meet_name, '9.999' from k")
 def manual_overlay(spark: SparkSession, d: str) -> DataFrame:
-    manual = spark.createDataFrame([(1, "Manual One", 1.5), (2, "Manual Two", None)], "c_custkey bigint, c_name string, c_acctbal double")
-    return resolve.overlaid(table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), manual, ["c_custkey"])
+    """Records entered by hand in place of those of the athlete and meet: one for each of a level."""
+    g = table(spark, d, "gold_results_wag").select("athlete_name", "meet_name", "level", "vt_score")
+    manual = g.filter("level = 'Gold' and athlete_name is not null and meet_name is not null").select("athlete_name", "meet_name").distinct().withColumn("vt_score", F.lit("9.999"))
+    return resolve.overlaid(g.drop("level"), manual, ["athlete_name", "meet_name"])
 
 
 _MERGE = "(with k as (select person_id, lower(trim(regexp_replace(full_name, '\\s+', ' ', 'g'))) as n from persons) select person_id, min(person_id) over (partition by n) as canonical from k)"
@@ -318,10 +348,11 @@ def healed_meets(spark: SparkSession, d: str) -> DataFrame:
     return resolve.healed(rows, "key", m.filter("country is not null"), "source_meet_id", {"country": "country"}, "x_").select("key", "country")
 
 
-@query("select meet_db_id, source from meets where try_cast(start_date_iso as date) between date '2023-06-01' - 90 and date '2023-06-01' + 2")
+@query(f"select meet_db_id, source from meets where try_cast({_iso('start_date_iso')} as date) between date '2023-06-01' - 400 and date '2023-06-01' + 2")
 def date_window(spark: SparkSession, d: str) -> DataFrame:
-    day, now = F.try_to_date("start_date_iso", "yyyy-MM-dd"), F.lit("2023-06-01").cast("date")
-    return table(spark, d, "meets").filter(day.between(F.date_sub(now, 90), F.date_add(now, 2))).select("meet_db_id", "source")
+    """Meets in a window before a day, dates in any notation; those without one are left out."""
+    day, now = F.try_to_date(dates.iso_date(F.col("start_date_iso")), "yyyy-MM-dd"), F.lit("2023-06-01").cast("date")
+    return table(spark, d, "meets").filter(day.between(F.date_sub(now, 400), F.date_add(now, 2))).select("meet_db_id", "source")
 
 
 @query("select result_id from results_v2 qualify (row_number() over (order by result_id) - 1) % 10 = 0")
@@ -339,11 +370,6 @@ def export_rows(spark: SparkSession, d: str) -> DataFrame:
     return sinks.export_rows(table(spark, d, "gold_results_wag"), ("vt_score", "aa_score"), ["athlete_name", "meet_name", "level"], ["gold_id"]).select("gold_id", "vt_score", "aa_score")
 
 
-@query("select source, lang, count(*) as n, count(distinct doc_id) as docs, sum(n_chars)::bigint as chars from documents group by 1, 2")
-def format_census(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"), F.sum("n_chars").alias("chars"))
-
-
 @query("select gold_id, case when regexp_matches(trim(meet_name), '\\((?:[^()]|\\([^()]*\\))*\\)$') then trim(regexp_replace(trim(meet_name), '\\((?:[^()]|\\([^()]*\\))*\\)$', '')) else meet_name end as meet_name from gold_results_wag")
 def names_without_suffix(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "gold_results_wag").select("gold_id", text.without_suffix(F.col("meet_name")).alias("meet_name"))
@@ -373,12 +399,15 @@ def club_cores(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "clubs").groupBy(text.club_core(F.col("name")).alias("core")).agg(F.min("club_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
 
 
-@query("""select meet_db_id, athlete_id, apparatus_id, first(score_final order by (details_json is null), result_id) filter (score_final is not null) as score_final, first(score_d order by (details_json is null), result_id) filter (score_d is not null) as score_d, first(rank_text order by (details_json is null), result_id) filter (rank_text is not null) as rank_text
-  from results_v2 group by 1, 2, 3""")
+@query("""with b as (select meet_db_id, athlete_id, apparatus_id, string_agg(distinct k.key, ',' order by k.key) as fields from results_v2, json_each(case when json_valid(details_json) then details_json::json end) k where k.type != 'NULL' group by 1, 2, 3),
+  f as (select meet_db_id, athlete_id, apparatus_id, first(score_final order by (details_json is null), result_id) filter (score_final is not null) as score_final, first(score_d order by (details_json is null), result_id) filter (score_d is not null) as score_d, first(rank_text order by (details_json is null), result_id) filter (rank_text is not null) as rank_text from results_v2 group by 1, 2, 3)
+  select f.*, b.fields from f left join b on b.meet_db_id is not distinct from f.meet_db_id and b.athlete_id is not distinct from f.athlete_id and b.apparatus_id is not distinct from f.apparatus_id""")
 def upgraded_results(spark: SparkSession, d: str) -> DataFrame:
+    """One row per meet, athlete and apparatus, and which fields its merged JSON has."""
     keys = ["meet_db_id", "athlete_id", "apparatus_id"]
     r = table(spark, d, "results_v2").select(*keys, "result_id", "score_final", "score_d", "rank_text", "details_json")
-    return resolve.upgraded(r, keys, [F.col("details_json").isNull(), F.col("result_id")], "details_json").select(*keys, "score_final", "score_d", "rank_text")
+    out = resolve.upgraded(r, keys, [F.col("details_json").isNull(), F.col("result_id")], "details_json")
+    return out.select(*keys, "score_final", "score_d", "rank_text", F.array_join(F.array_sort(F.json_object_keys("details_json")), ",").alias("fields"))
 
 
 @query("select x.name as apparatus, g.gender, coalesce(min(a.apparatus_id), min(o.apparatus_id)) as apparatus_id from (select distinct name from apparatus) x cross join (values ('M', 2), ('F', 1), ('X', 99)) g(gender, disc) left join apparatus a on a.name = x.name and a.discipline_id = g.disc left join apparatus o on o.name = x.name and o.discipline_id = 99 group by 1, 2 having coalesce(min(a.apparatus_id), min(o.apparatus_id)) is not null")
@@ -392,10 +421,10 @@ def apparatus_lookup(spark: SparkSession, d: str) -> DataFrame:
     return x.filter("apparatus_id is not null")
 
 
-@query("select meet_db_id from meets where meet_db_id in (12, 13) or name ilike '%cup%' and comp_year = 2022")
+@query("select meet_db_id from meets where meet_db_id in (12, 13) or name ilike '%cup%' and comp_year >= 2020")
 def meets_by_id_or_name(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "meets").select("meet_db_id", "name", "comp_year")
-    a, b = m.filter(F.col("meet_db_id").isin(12, 13)), m.filter(F.col("name").ilike("%cup%") & (F.col("comp_year") == 2022))
+    a, b = m.filter(F.col("meet_db_id").isin(12, 13)), m.filter(F.col("name").ilike("%cup%") & (F.col("comp_year") >= 2020))
     return a.select("meet_db_id").union(b.select("meet_db_id")).distinct()
 
 
@@ -405,27 +434,6 @@ def routed_sessions(spark: SparkSession, d: str) -> DataFrame:
     return reshape.routed_metadata(r, ["Sess", "Group", "Bib"], {"Sess": "session", "Group": "group"}).select("result_id", "session")
 
 
-@query("select event_id, user_id, event_type from events qualify row_number() over (partition by event_id order by ts) = 1")
-def stream_first_wins(spark: SparkSession, d: str) -> DataFrame:
-    return _streamed(spark, d, lambda s: intake.first_wins(s, ["event_id"], "ts", "3650 days").select("event_id", "user_id", "event_type"), "first")
-
-
-def _streamed(spark: SparkSession, d: str, plan, name: str) -> DataFrame:
-    """A stream over the events table, run until all is read."""
-    out = scratch(spark, name)
-    path = f"{d}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    folder = path if _is_folder(spark, path) else f"{d}/events*.parquet"
-    q = intake.run_available(plan(intake.table_stream(spark, folder, schema)), name, out)
-    assert q.exception() is None
-    return spark.read.parquet(f"{out}/{name}")
-
-
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    fs, p = file_system(spark, path)
-    return fs.getFileStatus(p).isDirectory()
-
-
 @query("select event_type, count(*) as n, sum(value::decimal(18,4))::double as total from events where ts >= (select max(ts) - interval 30 day from events) group by 1")
 def recent_events(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")

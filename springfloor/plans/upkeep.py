@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import dates, text
 from ..operators import candidates, curation, maintenance, order, reshape, resolve, sinks, star
-from ..runtime import broadcast_if_small, materialize, scratch, table
+from ..runtime import broadcast_if_small, materialize, scratch, small_table, table
 from ..streaming import intake
 
 QUERIES: dict = {}
@@ -31,7 +31,7 @@ _VALUES = lambda m: "(values " + ", ".join(f"('{a}', '{c}', {i})" for i, (a, c)
 
 
 def _aliases(spark: SparkSession, m: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame([(a, c, i) for i, (a, c) in enumerate(m.items())], "alias string, canonical string, pos int")
+    return small_table(spark, [(a, c, i) for i, (a, c) in enumerate(m.items())], "alias string, canonical string, pos int")
 
 
 # --- resolution -------------------------------------------------------------------------------------
@@ -182,7 +182,7 @@ def updated_years(spark: SparkSession, d: str) -> DataFrame:
     return maintenance.with_years(m, m.select("source_meet_id", text.year_of(F.col("start_date_iso")).alias("year")), "source_meet_id", "comp_year").select("meet_db_id", "comp_year")
 
 
-_GAP = "(select m.meet_db_id, m.source_meet_id from meets m join (select source, " + _SUFFIX.replace("meet_name", "trim(meet_name)") + " as n, count(*) as k, " + ", ".join(f"count(*) filter (coalesce(trim({c}), '') != '') as {c}" for c in _SCORES) + " from gold_results_wag group by 1, 2) g on g.source = m.source and g.n = m.name where k > 2 and (" + " or ".join(f"{c} < k" for c in _SCORES[:0]) + "vt_score = 0 or ub_score = 0 or bb_score = 0 or fx_score = 0))"
+_GAP = "(select m.meet_db_id, m.source_meet_id from meets m join (select source, " + _SUFFIX.replace("meet_name", "trim(meet_name)") + " as n, count(*) as k, " + ", ".join(f"count(*) filter (coalesce(trim({c}), '') != '') as {c}" for c in _SCORES) + " from gold_results_wag group by 1, 2) g on g.source = m.source and g.n = m.name where k > 2 and (" + "vt_score = 0 or ub_score = 0 or bb_score = 0 or fx_score = 0))"
 
 
 def _gapped(spark: SparkSession, d: str) -> DataFrame:
@@ -235,10 +235,11 @@ def incomplete_meets(spark: SparkSession, d: str) -> DataFrame:
     return m.join(_status(spark, d).filter("status = 'DONE'"), ["source", "meet_id"]).select("source", "meet_id", F.coalesce("n", F.lit(0)).alias("n")).filter("n < 60")
 
 
-@query("select file_path, source from processed_files where file_path not in (select source_file from results_v2 where source_file is not null)")
-def files_without_facts(spark: SparkSession, d: str) -> DataFrame:
+@query("select file_path, source from processed_files where file_path not in (select source_file from results_v2 where source_file is not null and level = 'Gold')")
+def files_without_gold(spark: SparkSession, d: str) -> DataFrame:
+    """Files of the ledger that gave no fact of a level."""
     f = table(spark, d, "processed_files").select("file_path", "source")
-    return maintenance.without(f, table(spark, d, "results_v2").select(F.col("source_file").alias("file_path")), "file_path")
+    return maintenance.without(f, table(spark, d, "results_v2").filter("level = 'Gold'").select(F.col("source_file").alias("file_path")), "file_path")
 
 
 _SEEDS = [(i, n, g) for i, n, g in config.DISCIPLINES]
@@ -388,16 +389,16 @@ def athlete_coverage(spark: SparkSession, d: str) -> DataFrame:
 _KNOWN = ("result_id", "meet_db_id", "athlete_id", "apparatus_id", "gender", "level", "age", "province", "score_d", "score_final", "score_text", "rank_numeric", "rank_text", "details_json", "age_group", "meet", "state", "session", "num", "bonus", "execution_bonus")
 
 
-@query("select k.key as header, count(*) as n, count(distinct source_file) as files, min(k.value::varchar) as sample from results_v2, json_each(case when json_valid(details_json) then details_json::json end) k where k.type != 'NULL' and lower(k.key) not in (" + ", ".join(f"'{c}'" for c in (*_KNOWN, *[a.lower() for a in config.COLUMN_ALIASES])) + ") group by 1")
+@query("select k.key as header, count(*) as n, count(distinct source_file) as files from results_v2, json_each(case when json_valid(details_json) then details_json::json end) k where k.type != 'NULL' and lower(k.key) not in (" + ", ".join(f"'{c}'" for c in (*_KNOWN, *[a.lower() for a in config.COLUMN_ALIASES])) + ") group by 1")
 def unmapped_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Headers that no column and no alias takes, with a sample value."""
+    """Headers that no column and no alias takes."""
     from ..operators import drift
 
-    known = spark.createDataFrame([(c,) for c in (*_KNOWN, *[a.lower() for a in config.COLUMN_ALIASES])], "low string").distinct()
+    known = small_table(spark, [(c,) for c in (*_KNOWN, *[a.lower() for a in config.COLUMN_ALIASES])], "low string").distinct()
     rows = table(spark, d, "results_v2").select("source_file", "details_json")
     v = drift.field_texts(rows, "source_file", "details_json")
     left = v.withColumn("low", F.lower("field")).join(broadcast_if_small(known), "low", "left_anti")
-    return left.groupBy(F.col("field").alias("header")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"), F.min("json").alias("sample"))
+    return left.groupBy(F.col("field").alias("header")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"))
 
 
 _TABLES = ("results_v2", "meets", "persons", "clubs", "athletes", "apparatus", "processed_files", "gold_results_wag")
@@ -407,7 +408,7 @@ _TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "
 @query("select table_name, column_name, case data_type " + " ".join(f"when '{a}' then '{b}'" for a, b in _TYPES.items()) + " else data_type end as kind, ordinal_position - 1 as place from information_schema.columns where table_name in (" + ", ".join(f"'{t}'" for t in _TABLES) + ")")
 def table_schemas(spark: SparkSession, d: str) -> DataFrame:
     rows = [(t, f.name, f.dataType.simpleString(), i) for t in _TABLES for i, f in enumerate(table(spark, d, t).schema)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, kind string, place int")
+    return small_table(spark, rows, "table_name string, column_name string, kind string, place int")
 
 
 _SERVICE = ["age_group", "group_name", "state", "session", "num", "bonus", "score_sv", "penalty"]
@@ -440,7 +441,7 @@ _CASES = {"SNG": "Senior Next Gen", "srng": "Senior Next Gen", "SR-NG": "Senior
 @query("select * from (values " + ", ".join(f"('{a}', '{c}')" for a, c in _CASES.items()) + ") t(typed, level)")
 def level_cases(spark: SparkSession, d: str) -> DataFrame:
     """Twelve levels as typed, and what they must become."""
-    df = spark.createDataFrame([(a, a) for a in _CASES], "typed string, level string")
+    df = small_table(spark, [(a, a) for a in _CASES], "typed string, level string")
     return resolve.through_aliases(df, "level", _aliases(spark, config.LEVELS), any_case=True).select("typed", "level")
 
 
@@ -460,11 +461,11 @@ def streamed_ledger(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select event_id, user_id, event_type from events")
 def stream_of_repeats(spark: SparkSession, d: str) -> DataFrame:
-    """A stream in which a third of the events comes twice: the first of each wins within a day."""
+    """A stream in which a third of the events comes twice: the first of each wins; what comes again comes within two hours."""
     src, out = scratch(spark, "twice"), scratch(spark, "once")
     e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
     e.unionByName(e.filter("event_id % 3 = 0").withColumn("ts", F.col("ts") + F.expr("interval 1 hour"))).repartition(4).write.parquet(src)
-    intake.run_available(intake.first_wins(intake.table_stream(spark, src, spark.read.parquet(src).schema), ["event_id"], "ts", "400 days").select("event_id", "user_id", "event_type"), "once", out)
+    intake.run_available(intake.first_wins(intake.table_stream(spark, src, spark.read.parquet(src).schema), ["event_id"], "ts", "2 hours").select("event_id", "user_id", "event_type"), "once", out)
     return spark.read.parquet(f"{out}/once")
 
 

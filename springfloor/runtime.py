@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import json
 import shutil
 import tempfile
 import uuid
@@ -73,6 +74,15 @@ def clean(spark: SparkSession) -> None:
         fs.delete(p, True)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of parameters (rules, aliases, seeds) as a literal in the plan, so that the
+    planner knows that it is small. Values are texts, numbers, booleans or null."""
+    fields = [f.strip().split() for f in schema.split(",")]
+    text = json.dumps([{n: v for (n, _), v in zip(fields, r)} for r in rows])
+    kind = "array<struct<" + ",".join(f"{n}:{t}" for n, t in fields) + ">>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), kind)))
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate (exact file size for plain scans)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

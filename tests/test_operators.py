@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from springfloor.operators import order, reshape, resolve, sinks, star
-from springfloor.plans import catalogue
+from springfloor.plans import catalogue, upkeep
 from springfloor.sources import files, html
 from springfloor.streaming import intake
 
@@ -209,7 +209,7 @@ def test_every_nth(spark):
 
 
 def test_catalogue_has_twins():
-    assert set(catalogue.QUERIES) - set(catalogue.SQL) == {"similar_rows"}
+    assert set(catalogue.QUERIES) == set(catalogue.SQL) and set(upkeep.QUERIES) - set(upkeep.SQL) == {"similar_names"}
 
 
 def test_decisions(spark):
