@@ -48,7 +48,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._springfloor_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote; nothing that reads it may run any more."""
+    path = getattr(df, "_springfloor_path", None)
+    if path:
+        fs, p = file_system(df.sparkSession, path)
+        fs.delete(p, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
