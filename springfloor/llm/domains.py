@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import small_table
 from .mapping import Vocabulary
 
 #: How writers put the words of level names.
@@ -62,6 +63,6 @@ def province_forms(ref_provinces: DataFrame) -> DataFrame:
     """(canonical, form, exact) of the provinces: codes, names, both together, further
     names, names cut short."""
     p = ref_provinces.select(F.col("province_code").alias("canonical"), F.col("province_name").alias("name")).filter("canonical is not null").distinct()
-    known = ref_provinces.sparkSession.createDataFrame([(c, x, False) for c, xs in PROVINCE_NAMES.items() for x in xs], "canonical string, form string, exact boolean")
+    known = small_table(ref_provinces.sparkSession, [(c, x, False) for c, xs in PROVINCE_NAMES.items() for x in xs], "canonical string, form string, exact boolean")
     own = p.select("canonical", F.explode(F.array_compact(F.array("canonical", "name", F.concat_ws(" ", "name", "canonical")))).alias("form"), F.lit(False).alias("exact"))
     return own.unionByName(known.join(p.select("canonical"), "canonical", "left_semi")).unionByName(_shortened(p.filter("name is not null")))

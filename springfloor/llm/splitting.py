@@ -68,21 +68,19 @@ class Text:
         self.new = np.flatnonzero(new)
         self.keys = s * (1 << 40) + np.arange(self.n + 1)
 
-    def table(self, width: int) -> np.ndarray:
-        """Maxima of all windows of the greatest power of two up to ``width``."""
-        m, w = self.keys, 1
+    def table(self, width: int) -> list[np.ndarray]:
+        """The sparse table: maxima of all windows of each power of two up to ``width``."""
+        levels, w = [self.keys], 1
         while w * 2 <= width:
-            m = np.maximum(m[:-w], m[w:])
+            levels.append(np.maximum(levels[-1][:-w], levels[-1][w:]))
             w *= 2
-        return m
+        return levels
 
-    def strongest(self, lo: int, hi: int, table: np.ndarray, width: int) -> int:
-        """Place of the strongest boundary in [lo, hi], the rightmost of equals."""
-        n = hi - lo + 1
-        w = 1 << (width.bit_length() - 1)
-        if w <= n <= 2 * w:
-            return int(max(table[lo], table[hi - w + 1]) & ((1 << 40) - 1))
-        return int(self.keys[lo : hi + 1].max() & ((1 << 40) - 1))
+    def strongest(self, lo: int, hi: int, levels: list[np.ndarray]) -> int:
+        """Place of the strongest boundary in [lo, hi], the rightmost of equals: two windows
+        of the greatest power of two that fits cover the range."""
+        k = (hi - lo + 1).bit_length() - 1
+        return int(max(levels[k][lo], levels[k][hi - (1 << k) + 1]) & ((1 << 40) - 1))
 
     def text(self, a: int, b: int) -> str:
         return self.bytes[self.at[a] : self.at[b]].decode("utf-8")
@@ -117,8 +115,7 @@ def cut(x: Text, capacity: int, overlap: int, least: int, natural: bool = True)
         raise ValueError("it must hold that 0 <= overlap < least <= capacity")
     if x.n <= capacity:
         return [(0, x.n, x.n)] if x.n else []
-    width = capacity - least + 1
-    table = x.table(width)
+    levels = x.table(capacity - least + 1) if natural else []
     pieces, a = [], 0
     while True:
         hi = a + capacity
@@ -127,7 +124,7 @@ def cut(x: Text, capacity: int, overlap: int, least: int, natural: bool = True)
                 b = x.n
             else:
                 lo = min(a + least, hi)
-                b = x.strongest(lo, hi, table, width) if natural else hi
+                b = x.strongest(lo, hi, levels) if natural else hi
                 while x.strength[b] == WITHIN and b > a + overlap + 1:
                     b -= 1
                 while x.strength[b] == WITHIN:
