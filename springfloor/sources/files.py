@@ -44,14 +44,18 @@ def records(text: DataFrame, header_words: tuple[str, ...] = ("name",), within:
     split; a row's cells are never shuffled apart.
     """
     rows = with_cells(text.select("file", "line_no", "line"), "line").select("file", "line_no", "cells")
-    low = F.transform("cells", lambda c: F.lower(F.trim(c)))
+    rows = rows.withColumn("trimmed", F.transform("cells", F.trim))
+    low = F.transform("trimmed", F.lower)
     words = F.array(*[F.lit(w) for w in header_words])
-    hit = F.forall(words, lambda w: F.array_contains(low, w)) if together else F.exists("cells", lambda c: F.exists(words, lambda w: F.lower(c).contains(w)))
-    early = F.struct("line_no", F.transform("cells", F.trim).alias("headers"))
-    head = rows.groupBy("file").agg(F.coalesce(F.min(F.when(hit & (F.col("line_no") <= within), early)), F.min(early)).alias("h"))
-    body = rows.join(head, "file").filter((F.col("line_no") > F.col("h.line_no")) & (F.transform("cells", F.trim) != F.col("h.headers")))
-    value = lambda i: F.nullif(F.trim(F.try_element_at("cells", i)), F.lit(""))
-    pairs = F.transform(F.col("h.headers"), lambda h, i: F.struct((i).alias("pos"), h.alias("header"), value(i + 1).alias("value")))
+    hit = F.forall(words, lambda w: F.array_contains(low, w)) if together else F.exists(low, lambda c: F.exists(words, lambda w: c.contains(w)))
+    rows = rows.withColumn("hit", hit & (F.col("line_no") <= within))
+    early = F.struct("line_no", F.col("trimmed").alias("headers"))
+    head = rows.groupBy("file").agg(F.min(F.when(F.col("hit"), early)).alias("named"), F.min(early).alias("first"))
+    head = head.select("file", F.coalesce("named", "first").alias("h"))
+    body = rows.join(head, "file").filter((F.col("line_no") > F.col("h.line_no")) & (F.col("trimmed") != F.col("h.headers")))
+    # zipped, as a lambda that refers to a column of the other side of the join is pushed down wrongly
+    both = F.zip_with(F.col("h.headers"), F.col("cells"), lambda h, c: F.struct(h.alias("header"), F.nullif(F.trim(c), F.lit("")).alias("value")))
+    pairs = F.transform(F.filter(both, lambda x: x["header"].isNotNull()), lambda x, i: F.struct(i.alias("pos"), x["header"].alias("header"), x["value"].alias("value")))
     return body.select("file", F.col("line_no").alias("row"), pairs.alias("fields"))
 
 
@@ -155,9 +159,9 @@ def messy_records(text: DataFrame, within: int = 10) -> DataFrame:
     lead = rows.filter(F.col("line_no") <= within).groupBy("file").agg(F.collect_list(F.struct("line_no", "cells")).alias("lead"))
     head = lead.select("file", _messy_header("lead").alias("h"))
     body = rows.join(head, "file").filter("line_no > h.data")
-    value = lambda i: F.nullif(F.trim(F.try_element_at("cells", i)), F.lit(""))
-    pairs = F.filter(F.transform(F.col("h.header"), lambda h, i: F.struct(i.alias("pos"), h.alias("header"), value(i + 1).alias("value"))), lambda x: x["header"] != "")
-    return body.select("file", F.col("line_no").alias("row"), pairs.alias("fields"))
+    both = F.zip_with(F.col("h.header"), F.col("cells"), lambda h, c: F.struct(h.alias("header"), F.nullif(F.trim(c), F.lit("")).alias("value")))
+    pairs = F.transform(both, lambda x, i: F.struct(i.alias("pos"), x["header"].alias("header"), x["value"].alias("value")))
+    return body.select("file", F.col("line_no").alias("row"), F.filter(pairs, lambda x: F.coalesce(x["header"], F.lit("")) != "").alias("fields"))
 
 
 def renamed_fields(rows: DataFrame, names: dict[str, str], mark: str, final: str) -> DataFrame:

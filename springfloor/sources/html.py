@@ -68,7 +68,7 @@ class Tables(HTMLParser):
         a = {k: v or "" for k, v in attrs}
         top = self.open[-1] if self.open else None
         if tag == "table":
-            table = _Table(len(self.done) + len(self.open), self.title, self.group, a.get("data-agepartitioncd", ""))
+            table = _Table(len(self.done), self.title, self.group, a.get("data-agepartitioncd", ""))
             self.open.append(table)
             self.done.append(table)
         elif tag in ("h1", "h2", "h3", "h4"):

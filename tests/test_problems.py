@@ -2,7 +2,9 @@ import csv
 import datetime as dt
 import random
 
-from springfloor.operators import badrows, drift
+from pyspark.sql import functions as F
+
+from springfloor.operators import badrows, drift, references
 from springfloor.operators.references import Reference, orphan_counts, orphan_references
 
 T = dt.datetime
@@ -114,4 +116,28 @@ def test_drift(spark):
 def test_same_name_but_for_case(spark):
     rows = spark.createDataFrame([("f", '{"nd": 1, "ND": 2}', None)], "source_file string, details_json string, session string")
     schema = drift.union_schema(drift.file_schemas(rows, "source_file", "details_json"))
-    assert sorted(drift.unified(rows, "details_json", schema, ("source_file",)).columns) == ["f_ND", "f_nd_2", "source_file"]
+    assert sorted(drift.unified(rows, "details_json", schema, ("source_file",)).columns) == ["casts_lost", "f_ND", "f_nd_2", "source_file"]
+
+
+def test_renamed_fields_are_one_column(spark):
+    files = [("a", 1, [('{"yob": 2003}', "3"), ('{"yob": 2010, "x": 1}', "4")]), ("a", 2, [('{"born": 2004, "sess": 3}', None), ('{"born": 2011, "sess": 4}', None)]), ("b", 1, [('{"x": "odd", "y": 1}', None)]), ("b", 2, [('{"y": 2, "x": 5}', None)])]
+    schemas, _, rows = _drift(spark, files)
+    changes = drift.schema_changes(schemas, spark.createDataFrame([(f"{f}/{n}", f, n) for f, n, _ in files], "file_path string, feed string, file_seq int"), "file_path", "feed", "file_seq")
+    names = drift.rename_groups(schemas, changes, ("session",))
+    assert names["yob"] == names["born"] and names["sess"] == names["session"] == "session" and names["x"] != names["y"]
+    one = schemas.withColumn("field", F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("field")))
+    got = drift.unified(rows, "details_json", drift.union_schema(one), ("source_file",), names=names, extra=("session",)).collect()
+    born = names["yob"]
+    assert sorted(r[f"f_{born}"] or 0 for r in got) == [0, 0, 2003, 2004, 2010, 2011] and sorted(r.session for r in got if r.session) == [3, 3, 4, 4] and {r.casts_lost for r in got} == {0}
+    lossy = drift.unified(rows, "details_json", [("x", "integer")], ("source_file",)).collect()
+    assert sorted(r.casts_lost for r in lossy) == [0, 0, 0, 0, 0, 1]
+
+
+def test_composite_keys_of_all_matches(spark):
+    parent = spark.createDataFrame([("a", 1), ("b", None), ("a", 1)], "p string, q int")
+    child = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", None), (4, None, 1), (5, None, 2), (6, None, None), (7, "b", None), (8, "z", None), (1, "a", 1)], "id int, x string, y bigint")
+    got = {}
+    for m in references.MATCHES:
+        r = references.Reference(m, ("x", "y"), parent, ("p", "q"), match=m)
+        got[m] = sorted(x.id for x in references.orphan_references(child, "id", [r]).collect())
+    assert got == {"simple": [2], "partial": [2, 5, 8], "full": [2, 3, 4, 5, 7, 8]}
