@@ -67,14 +67,15 @@ class Text:
         new = (after == 32) & ~_is(after2, b" \t\n\r\x0b\x0c") & (after2 < 0x80) & ~blank(before) & (before < 0x80)
         self.new = np.flatnonzero(new)
         self.keys = s * (1 << 40) + np.arange(self.n + 1)
+        self.levels = [self.keys]
 
     def table(self, width: int) -> list[np.ndarray]:
-        """The sparse table: maxima of all windows of each power of two up to ``width``."""
-        levels, w = [self.keys], 1
-        while w * 2 <= width:
-            levels.append(np.maximum(levels[-1][:-w], levels[-1][w:]))
-            w *= 2
-        return levels
+        """The sparse table: maxima of all windows of each power of two up to ``width``; built
+        once a text, further levels when a wider window asks for them."""
+        while 2 << (len(self.levels) - 1) <= min(width, self.n + 1):
+            w = 1 << (len(self.levels) - 1)
+            self.levels.append(np.maximum(self.levels[-1][:-w], self.levels[-1][w:]))
+        return self.levels
 
     def strongest(self, lo: int, hi: int, levels: list[np.ndarray]) -> int:
         """Place of the strongest boundary in [lo, hi], the rightmost of equals: two windows
@@ -165,7 +166,10 @@ def split(docs: DataFrame, key: str, text: str, jobs: list[tuple[int, int]], voc
             for i, s in zip(batch["id"], batch["text"]):
                 if s is None or len(s) * 4 <= smallest:
                     continue
-                x = Text(s, t)
+                ends = t.ends(s)
+                if len(ends) <= smallest:  # most texts: no boundaries are needed
+                    continue
+                x = Text(s, t, ends)
                 for capacity, overlap in jobs:
                     if x.n <= capacity:
                         continue
