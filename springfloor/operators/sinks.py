@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -91,3 +93,19 @@ def markdown(df: DataFrame, title: str, most: int) -> str:
     clean = lambda x: "" if x is None else str(x).replace("|", "-")
     lines = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join(clean(x) for x in r) + " |" for r in rows]) + "\n"
+
+
+def sent_in_chunks(rows: DataFrame, delete_all: Callable[[], None], send: Callable[[list[dict]], None], size: int = 100) -> int:
+    """Replace a remote table: what is there is deleted, then the rows are sent in chunks. The
+    transport (with its address and credentials) is the caller's; what it raises ends the
+    run there. Rows pass through the driver a partition at a time, for small exports."""
+    delete_all()
+    sent, chunk = 0, []
+    for row in rows.toLocalIterator():
+        chunk.append(row.asDict(recursive=True))
+        if len(chunk) == size:
+            send(chunk)
+            sent, chunk = sent + len(chunk), []
+    if chunk:
+        send(chunk)
+    return sent + len(chunk)

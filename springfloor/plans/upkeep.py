@@ -346,6 +346,14 @@ def shuffled_queue(spark: SparkSession, d: str) -> DataFrame:
     return order.numbered(m, [F.when(F.col("source") == "mso", 0).otherwise(1), F.md5(F.concat(F.lit("7"), F.col("meet_db_id").cast("string")))], "place").select("meet_db_id", "place")
 
 
+@query(f"select m.meet_db_id from meets m join {_STATUS} s on s.source = m.source and s.meet_id = m.source_meet_id where s.status = 'RETRYING' or m.name ilike '%championships%'")
+def priority_meets(spark: SparkSession, d: str) -> DataFrame:
+    """Meets of the manifest whose source and id are on a list."""
+    m = table(spark, d, "meets").select("meet_db_id", "source", F.col("source_meet_id").alias("meet_id"), "name")
+    listed = m.filter(F.col("name").ilike("%championships%")).select("source", "meet_id").unionByName(_status(spark, d).filter("status = 'RETRYING'").select("source", "meet_id")).distinct()
+    return m.join(listed, ["source", "meet_id"], "left_semi").select("meet_db_id")
+
+
 @query(r"""select result_id, coalesce(nullif(trim(level), ''), nullif(regexp_extract(group_name, '(?i)(Level\s*\d+|CCP\s*\d+|P\d+|CPP\s*\d+|Provincial\s*\d+|Junior\s*[A-Z]|Senior\s*[A-Z]|Xcel\s*[a-zA-Z]+)', 1), ''), '') as "Level", coalesce(nullif(trim(state), ''), province) as "Prov", meet as "Meet" from results_v2 where trim(coalesce(num, '')) != ''""")
 def standard_columns(spark: SparkSession, d: str) -> DataFrame:
     """Levels told by the group's text, two columns of provinces made one, rows without a number

@@ -2,10 +2,11 @@ import random
 from difflib import SequenceMatcher
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from springfloor.functions import text
-from springfloor.operators import candidates, maintenance, order, resolve
+from springfloor.operators import candidates, maintenance, order, resolve, sinks
 from springfloor.streaming import intake
 
 
@@ -100,3 +101,17 @@ def test_scheduled_intake(spark, tmp_path):
     q.stop()
     assert sorted(r.h for r in spark.read.parquet(f"{out}/known").collect()) == ["h1", "h2"]
     assert intake.run_until_idle(lambda: intake.run_available(stream(), "again", out)) == 1
+
+
+def test_sending_stops_at_the_first_failure(spark):
+    calls = []
+
+    def send(chunk):
+        if len(calls) == 3:
+            raise OSError("refused")
+        calls.append(len(chunk))
+
+    assert sinks.sent_in_chunks(spark.range(7), lambda: calls.append("gone"), send, 4) == 7 and calls == ["gone", 4, 3]
+    with pytest.raises(OSError):
+        sinks.sent_in_chunks(spark.range(9), calls.clear, lambda c: send(c), 2)
+    assert calls == [2, 2, 2]
