@@ -44,10 +44,12 @@ def gold(facts: DataFrame, gender: str) -> DataFrame:
         pick = lambda number, text: F.nullif(F.coalesce(number, text), F.lit(""))
         aggs += [
             pick(text_of(F.max(on(F.col("score_final")))), F.max(on(F.col("score_text")))).alias(f"{p}_score"),
-            pick(text_of(F.max(on(F.col("score_d")))), F.max(on(F.get_json_object("details_json", "$.score_d_text")))).alias(f"{p}_d"),
+            pick(text_of(F.max(on(F.col("score_d")))), F.max(on(F.col("__d_text")))).alias(f"{p}_d"),
             pick(F.min(on(F.col("rank_numeric"))).cast("string"), F.max(on(F.col("rank_text")))).alias(f"{p}_rank"),
         ]
-    g = facts.filter(F.col("gender") == gender).groupBy("person_id", "meet_db_id", "session").agg(*aggs, F.max("score_final").alias("any_score"))
+    # the JSON is read once a row, not once an apparatus
+    facts = facts.filter(F.col("gender") == gender).withColumn("__d_text", F.get_json_object("details_json", "$.score_d_text"))
+    g = facts.groupBy("person_id", "meet_db_id", "session").agg(*aggs, F.max("score_final").alias("any_score"))
     first = ["athlete_name", "comp_year", "meet_date", "meet_name", "level", "age", "club"]
     return g.filter("any_score is not null").select("person_id", "meet_db_id", "session", *first, *[f"{p}_{x}" for p, _ in config.GOLD_ORDER[gender] for x in ("score", "d", "rank")])
 
