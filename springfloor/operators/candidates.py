@@ -65,3 +65,20 @@ def contained(clubs: DataFrame, least: int = 3) -> DataFrame:
     order = (F.length("short") < F.length("name")) | (F.length("short") == F.length("name")) & (F.col("short") < F.col("name"))
     met = rare.join(grams, "g").filter(order & (F.lower("short") != F.col("l")) & F.col("l").contains(F.col("core")))
     return met.groupBy(F.col("name").alias("alias")).agg(F.min_by("short", F.struct(F.length("short").alias("n"), "short")).alias("canonical"))
+
+
+def overlapping(rows: DataFrame, key: str, words: str, least: int) -> DataFrame:
+    """(a, b, common): pairs of keys whose word sets have ``least`` words or more in common, a < b.
+
+    Words are ordered by rarity. Two sets with that many in common share a word even when
+    each leaves out its ``least`` - 1 most frequent ones, so these are no keys: what
+    nearly all names have makes no pairs. Repeated keys are one row; null sets have no pairs.
+    """
+    r = rows.select(F.col(key).alias("id"), F.array_distinct(words).alias("ws")).filter(F.size("ws") >= least).dropDuplicates(["id"])
+    each = r.select("id", F.explode("ws").alias("w"))
+    often = each.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
+    ordered = each.join(often, "w").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "w"))), lambda x: x.w).alias("ws"))
+    keys = ordered.select("id", "ws", F.explode(F.slice("ws", F.lit(1), F.size("ws") - (least - 1))).alias("k"))
+    a, b = (keys.select(F.col("id").alias(n), F.col("ws").alias(f"{n}_ws"), "k") for n in ("a", "b"))
+    met = a.join(b, "k").filter("a < b").drop("k").dropDuplicates(["a", "b"])
+    return met.select("a", "b", F.size(F.array_intersect("a_ws", "b_ws")).cast("long").alias("common")).filter(F.col("common") >= least)

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import is_number, leading_int
+from ..functions.text import is_number, leading_int, normal_level
 from ..runtime import broadcast_if_small
 
 
@@ -60,7 +60,7 @@ def propagate_ranks(rows: DataFrame, ranks: list[str], athlete: str = "athlete_n
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     best = lambda c, w: F.min(F.when(~blank(c), leading_int(F.col(c)))).over(w)
     fine, coarse = W.partitionBy(athlete, date, level), W.partitionBy(athlete, date)
-    no_level = blank(level) | F.lower(F.trim(level)).isin("nan", "none")
+    no_level = normal_level(F.col(level)) == ""
     out = {}
     for c in ranks:
         one = F.when(F.col(date).isNotNull() & ~no_level, best(c, fine))
@@ -82,9 +82,8 @@ def similar_rows_kept(rows: DataFrame, key: str, scores: list[str], total: str,
     num = lambda c: F.when(is_number(F.col(c)), F.trim(c).try_cast("double"))
     there = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
     n = reduce(lambda p, q: p + q, [there(c).cast("int") for c in scores])
-    low = F.lower(F.trim(level))
     item = F.struct(
-        (-n).alias("n"), F.when(low.isNull() | low.isin("", "nan", "none"), 1).otherwise(0).alias("l"), F.col(meet).contains("(Combined)").cast("int").alias("c"), F.col(key).alias("k"),
+        (-n).alias("n"), (normal_level(F.col(level)) == "").cast("int").alias("l"), F.col(meet).contains("(Combined)").cast("int").alias("c"), F.col(key).alias("k"),
         F.array(*[F.struct(there(c).alias("t"), num(c).alias("v"), F.col(c).alias("s")) for c in scores]).alias("s"), num(total).alias("a"),
     )
     same = lambda p, q: F.coalesce(F.abs(p.v - q.v) < 0.005, F.lit(False)) | (p.v.isNull() | q.v.isNull()) & F.coalesce(p.s == q.s, F.lit(False)) & (p.t | q.t)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import dates, text
-from ..operators import order, reshape, resolve, sinks, star
+from ..operators import candidates, order, reshape, resolve, sinks, star
 from ..runtime import broadcast_if_small, small_table, table
 
 QUERIES: dict = {}
@@ -158,9 +158,8 @@ def alias_levels(spark: SparkSession, d: str) -> DataFrame:
 def word_overlap(spark: SparkSession, d: str) -> DataFrame:
     words = F.split(F.regexp_replace(F.lower("name"), "[^a-z]+", " "), " ")
     common = ("gymnastics", "club", "academy", "centre", "center", "school", "association", "athletic", "fitness")
-    w = table(spark, d, "clubs").select("club_id", F.explode(F.array_distinct(F.filter(words, lambda x: (F.length(x) > 3) & ~x.isin(*common)))).alias("word"))
-    a, b = w.select(F.col("club_id").alias("club_a"), "word"), w.select(F.col("club_id").alias("club_b"), "word")
-    return a.join(b, "word").filter("club_a < club_b").groupBy("club_a", "club_b").agg(F.count(F.lit(1)).alias("common")).filter("common >= 2")
+    c = table(spark, d, "clubs").select("club_id", F.array_distinct(F.filter(words, lambda x: (F.length(x) > 3) & ~x.isin(*common))).alias("words"))
+    return candidates.overlapping(c, "club_id", "words", 2).select(F.col("a").alias("club_a"), F.col("b").alias("club_b"), "common")
 
 
 @query("select athlete_id, result_id, score_final from results_v2 where score_final is not null qualify row_number() over (partition by athlete_id order by score_final desc, result_id) <= 5")

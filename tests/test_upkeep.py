@@ -115,3 +115,11 @@ def test_sending_stops_at_the_first_failure(spark):
     with pytest.raises(OSError):
         sinks.sent_in_chunks(spark.range(9), calls.clear, lambda c: send(c), 2)
     assert calls == [2, 2, 2]
+
+
+def test_overlapping_against_brute_force(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.choice("abcdefgh") for _ in range(rng.randint(0, 5))] + ["town"] * (i % 3 > 0)) for i in range(60)] + [(99, None)]
+    got = {(r.a, r.b): r.common for r in candidates.overlapping(spark.createDataFrame(rows, "id int, ws array<string>"), "id", "ws", 2).collect()}
+    want = {(i, j): len(set(x) & set(y)) for (i, x), (j, y) in combinations(rows[:-1], 2) if len(set(x) & set(y)) >= 2}
+    assert got == want and len(want) > 100
