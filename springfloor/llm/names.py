@@ -19,16 +19,6 @@ def words(name: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
 
-def long_forms(word: Column, nicknames: dict[str, tuple[str, ...]]) -> Column:
-    """The word and every long name it is a nickname of."""
-    inverse: dict[str, list[str]] = {}
-    for long, shorts in nicknames.items():
-        for s in shorts:
-            inverse.setdefault(s, []).append(long)
-    m = F.create_map(*[x for s, ls in sorted(inverse.items()) for x in (F.lit(s), F.array(*[F.lit(y) for y in sorted(set(ls))]))])
-    return F.concat(F.array(word), F.coalesce(F.element_at(m, word), F.array().cast("array<string>")))
-
-
 def edits(a: Column, b: Column) -> Column:
     """Levenshtein distance, but a swap of two letters costs one."""
     lev = F.levenshtein(a, b)
