@@ -326,3 +326,19 @@ def test_places_keep_every_precedence():
 def test_name_words(spark):
     df = spark.createDataFrame([("Élodie  O'Roe-Smith_X",), (None,), ("--",)], "n string")
     assert [r.w for r in df.select(names.words(df.n).alias("w")).collect()] == [["elodie", "oroe", "smith", "x"], None, []]
+
+
+def test_survivors_are_shuffled_packed(spark, monkeypatch):
+    """Rows meet their groups as one text each, without loss, and groups of any size come out alike."""
+    odd = ["a\x01b", "\x02a", "\x02\x01", "", None, "nan", "\x02n"]
+    rows = [(i, dt.datetime(2024, 1, 1 + i), v, None if i == 5 else i, "9.5") for i, v in enumerate(odd)]
+    df = spark.createDataFrame(rows, "id bigint, at timestamp, v string, n int, s string")
+    back = survivors._unpacked(survivors._packed(df, ["v", "n"]), ["v", "n"], {"v": "string", "n": "int"}).select("id", "at", "v", "n", "s")
+    assert {tuple(r) for r in back.collect()} == set(rows)
+    groups = spark.createDataFrame([(i, 0 if i < 4 else 4) for i in range(7)], "id bigint, group_id bigint")
+    found = lambda: survivors.survivors(df, groups, "id", "at", ["v", "n", "s"], "s")
+    want = {(0, 2, 3, "\x02\x01", 3, "9.5"), (4, 6, 6, "\x02n", 6, "9.5")}
+    assert "__packed" in found()._jdf.queryExecution().optimizedPlan().toString()
+    for most in (10_000, 3, 1):  # no group, one and both are combined before the shuffle
+        monkeypatch.setattr(survivors, "BIG_GROUP", most)
+        assert {tuple(r) for r in found().collect()} == want
