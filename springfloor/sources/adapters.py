@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.text import blank_to_null, column_key, is_number, is_scratch, ksis_cell, mso_cell, to_float
 from ..operators.reshape import apparatus_name
+from ..runtime import broadcast_if_small, materialize
 from .files import records
 
 _TEXT = ("score", "d", "sv", "e", "bonus", "penalty", "rank")
@@ -162,9 +163,10 @@ def _settled_results(fields: Column, move_text: bool) -> Column:
 
 
 def _of_file(rows: DataFrame, **facts: Column) -> DataFrame:
-    """``rows`` with facts of their file, each the value of its first row: one row a file."""
-    first = rows.groupBy("file").agg(*[F.min_by(c, "row").alias(k) for k, c in facts.items()])
-    return rows.join(first, "file")
+    """``rows`` with facts of their file, each the value of its first row: one row a file,
+    written first, so that their size is known and, where small, rows aren't shuffled."""
+    first = materialize(rows.groupBy("file").agg(*[F.min_by(c, "row").alias(k) for k, c in facts.items()]))
+    return rows.join(broadcast_if_small(first), "file")
 
 
 def kscore(text: DataFrame, aliases: dict[str, str]) -> DataFrame:

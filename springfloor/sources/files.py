@@ -11,6 +11,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ..operators.badrows import with_cells
 from ..operators.reshape import header_row, two_row_headers, without_index
+from ..runtime import broadcast_if_small, materialize
 
 
 def lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -39,9 +40,10 @@ def records(text: DataFrame, header_words: tuple[str, ...] = ("name",), within:
 
     The header is the first of the leading lines that has a cell containing one of the
     words (``together``: cells equal to all of them), in any case, else the first
-    line. Cells beyond the header and repeats of the header line are left out. Rows
-    meet their file's header, one row per file, by a join that AQE may broadcast or
-    split; a row's cells are never shuffled apart.
+    line. Cells beyond the header and repeats of the header line are left out. The
+    headers, one row per file, are written first, so that their size is known: where they
+    are small, rows meet them where they are read, and lines of a few large files aren't
+    shuffled to as few tasks. A row's cells are never shuffled apart.
     """
     rows = with_cells(text.select("file", "line_no", "line"), "line").select("file", "line_no", "cells")
     rows = rows.withColumn("trimmed", F.transform("cells", F.trim))
@@ -51,8 +53,8 @@ def records(text: DataFrame, header_words: tuple[str, ...] = ("name",), within:
     rows = rows.withColumn("hit", hit & (F.col("line_no") <= within))
     early = F.struct("line_no", F.col("trimmed").alias("headers"))
     head = rows.groupBy("file").agg(F.min(F.when(F.col("hit"), early)).alias("named"), F.min(early).alias("first"))
-    head = head.select("file", F.coalesce("named", "first").alias("h"))
-    body = rows.join(head, "file").filter((F.col("line_no") > F.col("h.line_no")) & (F.col("trimmed") != F.col("h.headers")))
+    head = materialize(head.select("file", F.coalesce("named", "first").alias("h")))
+    body = rows.join(broadcast_if_small(head), "file").filter((F.col("line_no") > F.col("h.line_no")) & (F.col("trimmed") != F.col("h.headers")))
     # zipped, as a lambda that refers to a column of the other side of the join is pushed down wrongly
     both = F.zip_with(F.col("h.headers"), F.col("cells"), lambda h, c: F.struct(h.alias("header"), F.nullif(F.trim(c), F.lit("")).alias("value")))
     pairs = F.transform(F.filter(both, lambda x: x["header"].isNotNull()), lambda x, i: F.struct(i.alias("pos"), x["header"].alias("header"), x["value"].alias("value")))

@@ -100,3 +100,16 @@ def test_page_layouts(spark):
     assert (r.place, r.athlete_rank, r.name, r.club, r.year, r.aa_score, r.results) == ("1", "3", "Al Roe", "North", "2010", "40", {"horse_Total": "12.1", "horse_D": "4", "horse_E": "8.1", "horse_Bonus": "", "horse_ND": "0.1"})
     found = html.containers(spark.createDataFrame([('<div data-meetid="5"><h3>Cup</h3></div><div data-meetid="6"><h3>Trampoline Open</h3></div>',)], "h string"), "h")
     assert [(x.meet_id, x.name) for x in found.collect()] == [("5", "Cup")]
+
+
+def test_lines_meet_headers_where_they_are_read(spark):
+    """A few large files: lines are not shuffled by their file, not even without a threshold for broadcasts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = spark.createDataFrame([("k1.csv", 1, "MeetID,MeetName,Session,Name,Club,wvault_Total"), ("k1.csv", 2, "7,ARTW Cup,N,Ann,X,9.5(2)")], "file string, line_no bigint, line string")
+        facts = adapters.ksis(text, {})
+        assert "SortMergeJoin" not in facts._jdf.queryExecution().executedPlan().toString()
+        assert [(r.source_meet_id, r.athlete_name, r.score_final, r.rank_text) for r in facts.collect()] == [("7", "Ann", 9.5, "2")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
